@@ -1,20 +1,24 @@
 """The delivery chunk, derived from the given tables by one SELECT.
 
 Spark and DuckDB run the same text; ``{name}`` stands for the source of a table.
-Row order: chunk (as text), then order and line number.
+Row order: chunk (as text), then order and line number. Chunk files and core
+tables are written to the shared folder once per application.
 """
 
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from waybill.plans.core import core_tables
-from waybill.schemas import CHUNK, CORE, ROW_ORDER
+from waybill.schemas import CORE, ROW_ORDER
 from waybill.session import pin
 from waybill.sinks.tables import write_core
+from waybill.sources.chunks import read_chunks
 from waybill.sources.core_tables import read_core
 
 TABLES = ("lineitem", "orders", "customer", "part", "nation", "region")
@@ -71,45 +75,65 @@ JOIN {region} r ON n.n_regionkey = r.r_regionkey
 """
 
 
-def chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The chunk as a lazy frame, typed as the chunk contract."""
+_written: dict[tuple[str, str, str], str] = {}
+_writing = threading.RLock()
+
+
+def derived_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunk as a lazy frame over the given tables."""
     pin(spark)
     sources = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}
-    raw = spark.sql(CHUNK_SQL.format(**sources))
-    return raw.select(
-        *[raw[f.name].cast(f.dataType).alias(f.name) for f in CHUNK], *ROW_ORDER
-    )
+    return spark.sql(CHUNK_SQL.format(**sources))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder in the checkpoint folder of the session."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/waybill-{uuid.uuid4()}"
+def written_chunks(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with the chunk files: the input every job starts from."""
+    def write(folder: str) -> None:
+        derived_chunk(spark, sf_dir).write.partitionBy(ROW_ORDER[0]).parquet(folder)
 
+    return _once(spark, "chunks", sf_dir, write)
+
+
+def written_core(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with the seven core tables, loaded from the chunk files."""
+    def write(folder: str) -> None:
+        write_core(core_tables(chunk(spark, sf_dir)), path=folder)
 
-def write_chunks(spark: SparkSession, sf_dir: str) -> str:
-    """The chunk as parquet below a new folder, one directory per chunk file."""
-    folder = shared_folder(spark)
-    chunk(spark, sf_dir).write.partitionBy("chunk_file").parquet(folder)
-    return folder
+    return _once(spark, "core", sf_dir, write)
 
 
-_written: dict[tuple[str, str], str] = {}
+def chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan of the chunk files. Parquet written by Spark need not keep the order
+    of rows, so the files carry it in two columns."""
+    folder = written_chunks(spark, sf_dir)
+    return read_chunks(spark, folder, pattern=f"{ROW_ORDER[0]}=*", row_order=ROW_ORDER)
 
 
 def core(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The seven core tables, written once per application and read back.
+    """The seven core tables, read back from where they were written.
 
     Joins, marts and audits use several of them several times over; written
     tables are computed once, carry exact sizes, and survive lost executors.
     """
-    key = spark.sparkContext.applicationId, sf_dir
-    if key not in _written:
-        folder = shared_folder(spark)
-        write_core(core_tables(chunk(spark, sf_dir)), path=folder)
-        _written[key] = folder
-    return read_core(spark, path=_written[key], tables=CORE)
+    return read_core(spark, path=written_core(spark, sf_dir), tables=CORE)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder in the checkpoint folder of the session."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.gettempdir()
+    return f"{root.rstrip('/')}/waybill-{uuid.uuid4()}"
+
+
+def _once(spark: SparkSession, what: str, sf_dir: str, write: Callable[[str], None]) -> str:
+    """Write a data set once per application and given tables; return its folder."""
+    key = spark.sparkContext.applicationId, what, sf_dir
+    with _writing:
+        if key not in _written:
+            folder = shared_folder(spark)
+            write(folder)
+            _written[key] = folder
+    return _written[key]

@@ -24,7 +24,6 @@ from waybill.operators.numbering import line_occurrence
 from waybill.plans import core as jobs
 from waybill.plans import marts
 from waybill.schemas import CHUNK, ROW_ORDER
-from waybill.sources.chunks import read_chunks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,10 +47,8 @@ def _on_core(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
 
 # --- scans, projections, scalars ---
 
-def chunk_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = fixture.write_chunks(spark, sf_dir)
-    scanned = read_chunks(spark, folder, pattern="chunk_file=chunk_*")
-    return _plain_times(scanned.select(CHUNK.names))
+def chunk_scan(chunk: DataFrame) -> DataFrame:
+    return _plain_times(chunk.select(CHUNK.names))
 
 
 def drop_null_keys(chunk: DataFrame) -> DataFrame:
@@ -207,7 +204,7 @@ def audit_ranges(core: dict[str, DataFrame]) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "chunk_scan": chunk_scan,
+    "chunk_scan": _on_chunk(chunk_scan),
     "drop_null_keys": _on_chunk(drop_null_keys),
     "fill_measures": _on_chunk(fill_measures),
     "surrogate_key": _on_chunk(surrogate_key),

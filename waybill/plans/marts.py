@@ -92,59 +92,64 @@ def mart_orders(tables: Mapping[str, DataFrame]) -> DataFrame:
     By definition an order joined to its drivers counts once per driver row in
     the sums. Instead of multiplying rows, amounts are multiplied by that
     number; order counters become plain sums, since an order is one row here.
+    These sums are combined before the shuffle, whatever the size of a group.
 
-    Buyers and drivers are counted together: each order gives one buyer row,
-    each order x driver pair one driver row, and a first aggregate by group and
-    member removes repeats. A store holding a third of all orders is thereby
-    spread over its members, and no rows are expanded per distinct count.
+    Buyers and drivers are counted apart, on rows of group and member only: a
+    distinct spreads a store holding a third of all orders over its members,
+    and no rows are expanded per distinct count. Groups may have null columns,
+    so the two halves meet in a union and one more aggregate, not in a join.
     """
-    orders = tables["orders"]
+    orders, stores = tables["orders"], tables["stores"]
     weight = F.coalesce("driver_rows", F.lit(1))
-    weighted = {
+    measures = {
         "turnover": F.col("turnover_order") * weight,
         "revenue": F.col("revenue_order") * weight,
         "cost": F.col("delivery_cost").cast("long") * weight,
         "driver_changes_cnt": F.col("has_driver_change") * weight,
+        **{name: flag.cast("int") for name, flag in order_flags().items()},
     }
-    counted = {name: flag.cast("int") for name, flag in order_flags().items()}
-    measures = {**weighted, **counted}
+    members = ("buyers_cnt", "active_drivers_cnt")
 
     whole_orders = orders.join(
         order_items_agg(tables["order_items"]), "order_id", "left"
     ).join(driver_weights(tables["order_drivers"]), "order_id", "left")
-    buyer_rows = at_store(
-        whole_orders,
-        tables["stores"],
-        F.lit(False).alias("is_driver"),
-        F.col("user_id").alias("member"),
-        *[measure.alias(name) for name, measure in measures.items()],
-    )
-    driver_rows = at_store(
-        orders.join(tables["order_drivers"].select("order_id", "driver_id"), "order_id"),
-        tables["stores"],
-        F.lit(True).alias("is_driver"),
-        F.col("driver_id").alias("member"),
+    sums = (
+        at_store(whole_orders, stores, *[m.alias(name) for name, m in measures.items()])
+        .groupBy(*STORE_DAY)
+        .agg(*[F.sum(name).alias(name) for name in measures])
     )
 
-    per_member = (
-        buyer_rows.unionByName(driver_rows, allowMissingColumns=True)
-        .groupBy(*STORE_DAY, "is_driver", "member")
-        .agg(*[F.sum(name).alias(name) for name in measures])
+    pairs = orders.join(tables["order_drivers"].select("order_id", "driver_id"), "order_id")
+    buyers = at_store(
+        orders, stores, F.lit(False).alias("is_driver"), F.col("user_id").alias("member")
+    )
+    drivers = at_store(
+        pairs, stores, F.lit(True).alias("is_driver"), F.col("driver_id").alias("member")
     )
-    known = F.col("member").isNotNull()
-    totals = per_member.groupBy(*STORE_DAY).agg(
-        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in measures],
-        F.count_if(known & ~F.col("is_driver")).alias("buyers_cnt"),
-        F.count_if(known & F.col("is_driver")).alias("active_drivers_cnt"),
+    counts = (
+        buyers.unionByName(drivers)
+        .filter("member IS NOT NULL")
+        .distinct()
+        .groupBy(*STORE_DAY)
+        .agg(
+            F.count_if(~F.col("is_driver")).alias("buyers_cnt"),
+            F.count_if("is_driver").alias("active_drivers_cnt"),
+        )
+    )
+
+    totals = (
+        sums.unionByName(counts, allowMissingColumns=True)
+        .groupBy(*STORE_DAY)
+        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*measures, *members)])
     )
-    created, buyers, revenue = (
+    created, buyers_cnt, revenue = (
         F.col(c) for c in ("created_orders_cnt", "buyers_cnt", "revenue")
     )
     return (
         totals.withColumn("profit", revenue - F.col("cost"))
         .withColumn("avg_check", ratio(revenue, created))
-        .withColumn("orders_per_buyer", ratio(created, buyers))
-        .withColumn("revenue_per_buyer", ratio(revenue, buyers))
+        .withColumn("orders_per_buyer", ratio(created, buyers_cnt))
+        .withColumn("revenue_per_buyer", ratio(revenue, buyers_cnt))
         .select(MARTS["mart_orders"].names)
     )
 

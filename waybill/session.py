@@ -28,6 +28,7 @@ def local_session(cpus: int = 8, **conf: str) -> SparkSession:
         .appName("waybill")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", conf.pop("driver_memory", "8g"))
     )
     for key, value in conf.items():

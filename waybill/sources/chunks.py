@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -23,11 +23,14 @@ def read_chunks(
     pattern: str = PATTERN,
     strict: bool = True,
     mixed_types: bool = False,
+    row_order: Sequence[str] | None = None,
 ) -> DataFrame:
     """All chunk files below ``path`` as one frame: 25 typed columns and the row order.
 
     Rows are ordered by file path, compared as text (chunk_10 before chunk_2),
-    and by row number in the file. A path without chunk files is an error.
+    and by row number in the file. Files that were rewritten since may keep their
+    former file and row number in two columns, named by ``row_order``. A path
+    without chunk files is an error.
 
     The physical types come from one footer. Files written by pandas may store
     the same column as integers in one file and, because of nulls, as floats in
@@ -37,22 +40,26 @@ def read_chunks(
     pin(spark)
     glob = f"{path.rstrip('/')}/{pattern}"
     if mixed_types:
+        if row_order:
+            raise ValueError("row_order needs files of equal types")
         scans = [
             spark.read.schema(schema).parquet(*files)
             for schema, files in _files_by_schema(spark, glob)
         ]
     else:
-        scans = [spark.read.parquet(glob)]
-    return reduce(DataFrame.unionByName, [conform_chunk(s, strict) for s in scans])
+        scans = [spark.read.option("basePath", path).parquet(glob)]
+    return reduce(DataFrame.unionByName, [conform_chunk(s, strict, row_order) for s in scans])
 
 
-def conform_chunk(df: DataFrame, strict: bool = True) -> DataFrame:
+def conform_chunk(
+    df: DataFrame, strict: bool = True, row_order: Sequence[str] | None = None
+) -> DataFrame:
     """Cast a raw chunk scan to the contract and add the row order."""
-    file, row = ROW_ORDER
+    file, row = row_order or ("_metadata.file_path", "_metadata.row_index")
     return df.select(
         *[_conform(df.schema[f.name].dataType, f, strict).alias(f.name) for f in CHUNK],
-        F.col("_metadata.file_path").alias(file),
-        F.col("_metadata.row_index").alias(row),
+        F.col(file).alias(ROW_ORDER[0]),
+        F.col(row).alias(ROW_ORDER[1]),
     )
 
 
