@@ -18,7 +18,7 @@ from waybill.functions.columns import (
     phone_col,
     ratio,
 )
-from waybill.operators import audits
+from waybill.operators import audits, dedup
 from waybill.operators.dedup import first_per_key
 from waybill.operators.numbering import line_occurrence
 from waybill.plans import core as jobs
@@ -53,7 +53,7 @@ def chunk_scan(chunk: DataFrame) -> DataFrame:
 
 def drop_null_keys(chunk: DataFrame) -> DataFrame:
     keys = ["order_id", "item_replaced_id"]
-    return chunk.select(*keys, "item_id").na.drop(subset=keys)
+    return dedup.drop_null_keys(chunk, keys).select(*keys, "item_id")
 
 
 def fill_measures(chunk: DataFrame) -> DataFrame:

@@ -1,0 +1,93 @@
+from datetime import datetime
+
+import pandas as pd
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import types as T
+
+from waybill.schemas import CHUNK
+from waybill.sources.chunks import read_chunks
+
+
+def write(folder, name, rows, **columns):
+    """A chunk file as pandas writes it: integers with nulls become floats."""
+    data = {}
+    for field in CHUNK:
+        values = columns.get(field.name, [None] * rows)
+        if isinstance(field.dataType, T.TimestampType):
+            values = pd.to_datetime(pd.Series(values))
+        elif isinstance(field.dataType, T.StringType):
+            values = pd.Series(values, dtype="object")
+        elif all(v is None for v in values):
+            values = pd.Series([float("nan")] * rows)
+        data[field.name] = values
+    frame = pd.DataFrame(data)
+    frame.to_parquet(folder / name)
+    return frame
+
+
+def test_files_come_in_text_order_and_rows_in_file_order(spark, tmp_path):
+    for name, start in (("chunk_2", 20), ("chunk_10", 10), ("chunk_1", 0)):
+        write(tmp_path, f"{name}.parquet", 3, order_id=[start, start + 1, start + 2])
+    write(tmp_path, "other.parquet", 1, order_id=[99])
+    df = read_chunks(spark, str(tmp_path))
+    assert df.schema[: len(CHUNK)].simpleString() == CHUNK.simpleString()
+    found = df.orderBy("chunk_file", "chunk_row").select("order_id").collect()
+    assert [r[0] for r in found] == [0, 1, 2, 10, 11, 12, 20, 21, 22]
+
+
+def test_pandas_types_are_brought_to_the_contract(spark, tmp_path):
+    write(
+        tmp_path, "chunk_1.parquet", 2,
+        order_id=[1.0, None], item_quantity=[3.0, float("nan")], user_phone=["8", None],
+        created_at=["2024-03-01 10:20:30.123456789", None],
+    )
+    rows = read_chunks(spark, str(tmp_path)).orderBy("chunk_row").collect()
+    assert rows[0].order_id == 1 and rows[1].order_id is None
+    assert rows[0].item_quantity == 3 and rows[1].item_quantity is None
+    assert rows[0].created_at == datetime(2024, 3, 1, 10, 20, 30, 123456)
+    assert rows[1].created_at is None and rows[0].user_phone == "8"
+
+
+def test_fractions_fail_in_strict_mode(spark, tmp_path):
+    write(tmp_path, "chunk_1.parquet", 1, item_quantity=[1.5])
+    with pytest.raises(Exception, match="not a whole number"):
+        read_chunks(spark, str(tmp_path)).collect()
+    assert read_chunks(spark, str(tmp_path), strict=False).first().item_quantity == 1
+
+
+def test_no_files_is_an_error(spark, tmp_path):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_chunks(spark, str(tmp_path))
+
+
+def test_files_of_different_types(spark, tmp_path):
+    write(tmp_path, "chunk_1.parquet", 2, order_id=[1, 2], item_replaced_id=[5, 6])
+    write(tmp_path, "chunk_2.parquet", 2, order_id=[3.0, None], item_replaced_id=[None, 7.0])
+    frame = write(tmp_path, "chunk_3.parquet", 1, order_id=[4])
+    frame["item_replaced_id"] = pd.Series([None], dtype="object")  # a column without type
+    frame.to_parquet(tmp_path / "chunk_3.parquet")
+    with pytest.raises(Exception, match="TYPE_MISMATCH"):
+        read_chunks(spark, str(tmp_path)).collect()
+    df = read_chunks(spark, str(tmp_path), mixed_types=True)
+    found = df.orderBy("chunk_file", "chunk_row").select("order_id", "item_replaced_id").collect()
+    assert [tuple(r) for r in found] == [(1, 5), (2, 6), (3, None), (None, 7), (4, None)]
+
+
+def test_rewritten_files_keep_their_order_in_columns(spark, tmp_path):
+    write(tmp_path, "chunk_1.parquet", 3, order_id=[1, 2, 3])
+    first = read_chunks(spark, str(tmp_path))
+    first.repartition(3).write.parquet(str(tmp_path / "rewritten"))
+    again = read_chunks(
+        spark, str(tmp_path), pattern="rewritten", row_order=("chunk_file", "chunk_row")
+    )
+    found = again.orderBy("chunk_file", "chunk_row").select("order_id").collect()
+    assert [r[0] for r in found] == [1, 2, 3]
+
+
+def test_scan_reads_only_the_columns_asked_for(spark, tmp_path, plan_of):
+    write(tmp_path, "chunk_1.parquet", 1, user_id=[1], user_phone=["8"])
+    plan = plan_of(read_chunks(spark, str(tmp_path)).select("user_id").filter("user_id > 0"))
+    schema = plan[plan.index("ReadSchema"):]
+    assert "user_id" in schema and "user_phone" not in schema
+    assert "PushedFilters: [IsNotNull(user_id), GreaterThan(user_id,0)]" in plan

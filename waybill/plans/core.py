@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions.columns import comma_part, phone_col
-from waybill.operators.dedup import first_per_key
+from waybill.operators.dedup import drop_null_keys, first_per_key
 from waybill.operators.numbering import line_occurrence
 from waybill.schemas import CORE, ROW_ORDER
 
@@ -43,7 +43,7 @@ def items(chunk: DataFrame) -> DataFrame:
 def orders(chunk: DataFrame) -> DataFrame:
     columns = CORE["orders"].names
     stored = [c for c in columns if c not in ("order_id", "delivery_city")]
-    rows = chunk.na.drop(subset=["order_id"])
+    rows = drop_null_keys(chunk, ["order_id"])
     # An order has few rows, nearly all in one place: no collapse.
     first = first_per_key(rows, ["order_id"], stored)
     return first.withColumn("delivery_city", comma_part(F.col("address_text"), 1)).select(columns)
@@ -52,8 +52,8 @@ def orders(chunk: DataFrame) -> DataFrame:
 def order_items(chunk: DataFrame, **numbering: int) -> DataFrame:
     keys = ["order_id", "item_id"]
     lines = (
-        chunk.select(*keys, *MEASURES, "item_replaced_id", *ROW_ORDER)
-        .na.drop(subset=keys)
+        drop_null_keys(chunk, keys)
+        .select(*keys, *MEASURES, "item_replaced_id", *ROW_ORDER)
         .na.fill(0, subset=list(MEASURES))
     )
     ties = [*MEASURES, "item_replaced_id"]
@@ -67,7 +67,7 @@ def order_drivers(chunk: DataFrame) -> DataFrame:
     keys = ["order_id", "driver_id"]
     # The pairs are distinct, so the running number in the id is always 0.
     return (
-        chunk.select(*keys).na.drop(subset=keys).distinct()
+        drop_null_keys(chunk, keys).select(*keys).distinct()
         .withColumn("id", F.concat_ws("_", *keys, F.lit(0)))
         .withColumn("is_final", F.lit(True))
         .select(CORE["order_drivers"].names)
@@ -87,4 +87,4 @@ def core_tables(chunk: DataFrame) -> dict[str, DataFrame]:
 
 
 def _first(chunk: DataFrame, key: str, *values: str) -> DataFrame:
-    return first_per_key(chunk.na.drop(subset=[key]), [key], values, collapse=True)
+    return first_per_key(drop_null_keys(chunk, [key]), [key], values, collapse=True)

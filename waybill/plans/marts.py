@@ -21,7 +21,9 @@ from waybill.functions.columns import (
 )
 from waybill.schemas import MARTS
 
-STORE_DAY = ("year_num", "month_num", "day_num", "city", "store_id", "store_name")
+# Group key of both marts. Date parts and store name follow from it and are added
+# after the aggregation, so that they take no part in any shuffle.
+STORE_DAY = ("day", "city", "store_id")
 
 _ORDER_COUNTS = (
     "created_orders_cnt",
@@ -74,30 +76,34 @@ def order_flags() -> dict[str, Column]:
     return dict(zip(_ORDER_COUNTS, conditions))
 
 
-def at_store(orders: DataFrame, stores: DataFrame, *extra: str | Column) -> DataFrame:
-    """Orders with the store-day columns in front of ``extra``."""
-    names = stores.select("store_id", "store_name", "store_city")
-    return orders.join(names, "store_id", "left").select(
-        *date_parts(F.col("created_at")),
+def at_store_day(orders: DataFrame, stores: DataFrame, *extra: str | Column) -> DataFrame:
+    """Orders with their group key in front of ``extra``."""
+    cities = stores.select("store_id", "store_city")
+    return orders.join(cities, "store_id", "left").select(
+        F.to_date("created_at").alias("day"),
         order_city(F.col("delivery_city"), F.col("store_city")).alias("city"),
         "store_id",
-        "store_name",
         *extra,
     )
 
 
+def named(groups: DataFrame, stores: DataFrame) -> DataFrame:
+    """Groups with the date parts and store name in place of the day."""
+    names = stores.select("store_id", "store_name")
+    return groups.select("*", *date_parts(F.col("day"))).join(names, "store_id", "left")
+
+
 def mart_orders(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Order metrics by store and day.
 
     By definition an order joined to its drivers counts once per driver row in
     the sums. Instead of multiplying rows, amounts are multiplied by that
     number; order counters become plain sums, since an order is one row here.
-    These sums are combined before the shuffle, whatever the size of a group.
 
-    Buyers and drivers are counted apart, on rows of group and member only: a
-    distinct spreads a store holding a third of all orders over its members,
-    and no rows are expanded per distinct count. Groups may have null columns,
-    so the two halves meet in a union and one more aggregate, not in a join.
+    Buyers and drivers are made distinct beforehand, on rows of group and member
+    only: that spreads a store holding a third of all orders over its members,
+    and no rows are expanded per distinct count. What is left are sums, which
+    one last aggregate combines before its shuffle, whatever a group's size.
     """
     orders, stores = tables["orders"], tables["stores"]
     weight = F.coalesce("driver_rows", F.lit(1))
@@ -108,48 +114,42 @@ def mart_orders(tables: Mapping[str, DataFrame]) -> DataFrame:
         "driver_changes_cnt": F.col("has_driver_change") * weight,
         **{name: flag.cast("int") for name, flag in order_flags().items()},
     }
-    members = ("buyers_cnt", "active_drivers_cnt")
-
     whole_orders = orders.join(
         order_items_agg(tables["order_items"]), "order_id", "left"
     ).join(driver_weights(tables["order_drivers"]), "order_id", "left")
-    sums = (
-        at_store(whole_orders, stores, *[m.alias(name) for name, m in measures.items()])
-        .groupBy(*STORE_DAY)
-        .agg(*[F.sum(name).alias(name) for name in measures])
+    order_rows = at_store_day(
+        whole_orders, stores, *[m.alias(name) for name, m in measures.items()]
     )
 
-    pairs = orders.join(tables["order_drivers"].select("order_id", "driver_id"), "order_id")
-    buyers = at_store(
-        orders, stores, F.lit(False).alias("is_driver"), F.col("user_id").alias("member")
-    )
-    drivers = at_store(
-        pairs, stores, F.lit(True).alias("is_driver"), F.col("driver_id").alias("member")
-    )
-    counts = (
-        buyers.unionByName(drivers)
-        .filter("member IS NOT NULL")
+    def members(source: DataFrame, column: str, drives: bool) -> DataFrame:
+        columns = F.lit(drives).alias("drives"), F.col(column).alias("member")
+        return at_store_day(source, stores, *columns).filter("member IS NOT NULL")
+
+    driven = orders.join(tables["order_drivers"].select("order_id", "driver_id"), "order_id")
+    distinct_members = (
+        members(orders, "user_id", False).unionByName(members(driven, "driver_id", True))
         .distinct()
-        .groupBy(*STORE_DAY)
-        .agg(
-            F.count_if(~F.col("is_driver")).alias("buyers_cnt"),
-            F.count_if("is_driver").alias("active_drivers_cnt"),
-        )
+    )
+    member_rows = distinct_members.select(
+        *STORE_DAY,
+        (~F.col("drives")).cast("int").alias("buyers_cnt"),
+        F.col("drives").cast("int").alias("active_drivers_cnt"),
     )
 
-    totals = (
-        sums.unionByName(counts, allowMissingColumns=True)
-        .groupBy(*STORE_DAY)
-        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*measures, *members)])
+    rows = order_rows.unionByName(member_rows, allowMissingColumns=True)
+    summed = [c for c in rows.columns if c not in STORE_DAY]
+    totals = rows.groupBy(*STORE_DAY).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in summed]
     )
-    created, buyers_cnt, revenue = (
+    created, buyers, revenue = (
         F.col(c) for c in ("created_orders_cnt", "buyers_cnt", "revenue")
     )
     return (
-        totals.withColumn("profit", revenue - F.col("cost"))
+        named(totals, stores)
+        .withColumn("profit", revenue - F.col("cost"))
         .withColumn("avg_check", ratio(revenue, created))
-        .withColumn("orders_per_buyer", ratio(created, buyers_cnt))
-        .withColumn("revenue_per_buyer", ratio(revenue, buyers_cnt))
+        .withColumn("orders_per_buyer", ratio(created, buyers))
+        .withColumn("revenue_per_buyer", ratio(revenue, buyers))
         .select(MARTS["mart_orders"].names)
     )
 
@@ -159,7 +159,7 @@ def mart_items(tables: Mapping[str, DataFrame]) -> DataFrame:
 
     Lines are first folded to one row per order and item, which turns the
     distinct order counts into plain counts. Titles and categories join at the
-    end, so they take no part in the shuffle. Lines whose item is unknown share
+    end, like store names. Lines whose item is unknown share
     one group with a null item, where an order may come with several items;
     there the order itself stays in the key until the last step.
     """
@@ -170,7 +170,7 @@ def mart_items(tables: Mapping[str, DataFrame]) -> DataFrame:
         F.sum(canceled).alias("canceled_qty"),
         F.max((canceled > 0).cast("int")).alias("has_cancel"),
     )
-    placed = at_store(tables["orders"], tables["stores"], "order_id")
+    placed = at_store_day(tables["orders"], tables["stores"], "order_id")
     known_items = tables["items"].select("item_id", F.lit(True).alias("known"))
     metrics = ("item_turnover", "ordered_qty", "canceled_qty")
 
@@ -191,13 +191,16 @@ def mart_items(tables: Mapping[str, DataFrame]) -> DataFrame:
         once = F.least(F.col(pairs), F.lit(1))
         return F.sum(F.when(F.col("stray_order").isNull(), F.col(pairs)).otherwise(once))
 
-    return (
+    totals = (
         per_item.groupBy(*STORE_DAY, "item_id")
         .agg(
             *[F.sum(m).alias(m) for m in metrics],
             orders_in("pairs").alias("orders_with_item_cnt"),
             orders_in("cancel_pairs").alias("orders_with_item_cancel_cnt"),
         )
+    )
+    return (
+        named(totals, tables["stores"])
         .join(tables["items"], "item_id", "left")
         .select(MARTS["mart_items"].names)
     )

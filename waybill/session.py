@@ -1,16 +1,21 @@
-"""Session settings the results depend on."""
+"""Session settings the jobs depend on."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Settings that change results or readability of the input, not tuning.
 PINNED = {
     # The day of an order is taken in the session time zone.
     "spark.sql.session.timeZone": "UTC",
     # pandas writes nanosecond timestamps, which Spark reads only as longs;
     # sources.chunks turns them back into timestamps.
     "spark.sql.legacy.parquet.nanosAsLong": "true",
+    # A store or order holding a large share of all rows must not end in one task.
+    # Spark splits such join partitions at run time, but by default not where an
+    # aggregate could otherwise reuse the partitioning of the join.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

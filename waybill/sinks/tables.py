@@ -88,8 +88,6 @@ def write_mart(
     """
     if keep_schema:
         df = conform(df, MARTS[mart])
-    # A mart is small next to its input; this evens out its files.
-    df = df.hint("rebalance")
     if path is not None:
         df.write.mode("overwrite").parquet(path)
     elif jdbc is not None:

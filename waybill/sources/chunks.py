@@ -55,11 +55,16 @@ def conform_chunk(
     df: DataFrame, strict: bool = True, row_order: Sequence[str] | None = None
 ) -> DataFrame:
     """Cast a raw chunk scan to the contract and add the row order."""
-    file, row = row_order or ("_metadata.file_path", "_metadata.row_index")
+    if row_order:
+        file, row = (F.col(name) for name in row_order)
+    else:
+        # Directory and name: enough to tell files apart, and short in a shuffle.
+        file = F.substring_index(F.col("_metadata.file_path"), "/", -2)
+        row = F.col("_metadata.row_index")
     return df.select(
         *[_conform(df.schema[f.name].dataType, f, strict).alias(f.name) for f in CHUNK],
-        F.col(file).alias(ROW_ORDER[0]),
-        F.col(row).alias(ROW_ORDER[1]),
+        file.alias(ROW_ORDER[0]),
+        row.alias(ROW_ORDER[1]),
     )
 
 
