@@ -1,0 +1,76 @@
+import pytest
+from pyspark.sql import functions as F
+
+from waybill.operators import audits
+from waybill.schemas import CORE, MARTS
+
+
+@pytest.fixture
+def tables(spark):
+    def make(**rows):
+        return {
+            t: spark.createDataFrame(
+                [[r.get(c) for c in CORE[t].names] for r in rows.get(t, [])], CORE[t]
+            )
+            for t in CORE
+        }
+
+    return make
+
+
+def test_keys(tables):
+    core = tables(
+        users=[{"user_id": 1}, {"user_id": 1}, {"user_id": 2}, {"user_id": None}],
+        orders=[{"order_id": 1}],
+    )
+    found = {r.table_name: r[2:] for r in audits.audit_keys(core).collect()}
+    assert found["users"] == (4, 2, 2)
+    assert found["orders"] == (1, 1, 0)
+    assert found["items"] == (0, 0, 0)
+    bad = audits.duplicate_keys(core["users"], "user_id").collect()
+    assert {tuple(r) for r in bad} == {(1, 2), (None, 1)}
+
+
+def test_references(tables):
+    core = tables(
+        items=[{"item_id": 1}],
+        order_items=[
+            {"id": "a", "order_id": 1, "item_id": 1, "item_replaced_id": 2},
+            {"id": "b", "order_id": 1, "item_id": 1, "item_replaced_id": 2},
+            {"id": "c", "order_id": 1, "item_id": 1, "item_replaced_id": 1},
+            {"id": "d", "order_id": 1, "item_id": 1},
+        ],
+    )
+    found = {(r[0], r[1]): r[3:] for r in audits.audit_references(core).collect()}
+    assert len(found) == 7
+    assert found["order_items", "item_replaced_id"] == (1, 2)
+    assert found["order_items", "item_id"] == (0, 0)
+    assert found["order_items", "order_id"] == (1, 4)
+    bad = audits.orphans(core["order_items"], "item_replaced_id", core["items"], "item_id")
+    assert [tuple(r) for r in bad.collect()] == [(2, 2)]
+
+
+def test_nulls(spark):
+    mart = spark.createDataFrame(
+        [(2024, None, 1, "x", None), (2024, 1, 1, "x", None)],
+        "year_num int, month_num int, day_num int, city string, store_id bigint",
+    )
+    found = {r.column_name: (r.rows_cnt, r.violations_cnt)
+             for r in audits.audit_nulls({"mart_orders": mart}).collect()}
+    assert found == {"year_num": (2, 0), "month_num": (2, 1), "day_num": (2, 0),
+                     "city": (2, 0), "store_id": (2, 2)}
+
+
+def test_ranges(tables):
+    core = tables(users=[{"user_id": 1, "user_phone": "+" + "1" * 20}, {"user_id": 2}])
+    core["order_items"] = core["order_items"].sparkSession.createDataFrame(
+        [(40000, 1, 32768), (5, -40000, 32767), (None, -32768, None)],
+        "item_quantity int, item_canceled_quantity int, item_discount int",
+    )
+    found = {(r.table_name, r.column_name): (r.rows_cnt, r.violations_cnt)
+             for r in audits.audit_ranges(core).collect()}
+    assert found["users", "user_phone"] == (2, 1)
+    assert found["drivers", "driver_phone"] == (0, 0)
+    assert found["order_items", "item_quantity"] == (3, 1)
+    assert found["order_items", "item_canceled_quantity"] == (3, 1)
+    assert found["order_items", "item_discount"] == (3, 1)

@@ -1,0 +1,114 @@
+import random
+
+import pytest
+
+from waybill.plans import core
+from waybill.schemas import CORE
+
+
+def test_users_and_drivers(make_chunk, rows_of):
+    chunk = make_chunk(
+        [
+            {"user_id": 1, "user_phone": None, "driver_id": 5, "driver_phone": "8-900"},
+            {"user_id": 1, "user_phone": "8 (9) 1", "driver_id": 5, "driver_phone": "8-901"},
+            {"user_id": None, "user_phone": "8 1", "driver_id": 6, "driver_phone": "n/a"},
+            {"user_id": 2, "user_phone": "9161234567", "driver_id": None},
+        ]
+    )
+    assert rows_of(core.users(chunk)) == [(1, None), (2, "+9161234567")]
+    assert rows_of(core.drivers(chunk)) == [(5, "+7900"), (6, None)]
+
+
+def test_stores_and_items(make_chunk, rows_of):
+    chunk = make_chunk(
+        [
+            {"store_id": 1, "store_address": " A ,B , C", "item_id": 1, "item_title": "x"},
+            {"store_id": 2, "store_address": "A", "item_id": 1, "item_title": "y"},
+            {"store_id": 3, "store_address": "A,", "item_id": 2, "item_category": "c"},
+            {"store_id": 4, "store_address": None, "item_id": None, "item_title": "z"},
+        ]
+    )
+    assert rows_of(core.stores(chunk)) == [
+        (1, "A", "B", " A ,B , C"), (2, None, None, "A"), (3, "A", "", "A,"),
+        (4, None, None, None),
+    ]
+    assert rows_of(core.items(chunk)) == [(1, "x", None), (2, None, "c")]
+
+
+def test_orders_take_the_first_row_over_all_files(make_chunk):
+    chunk = make_chunk(
+        [
+            {"order_id": 1, "user_id": 9, "address_text": "B, x", "delivery_cost": 4},
+            {"order_id": 1, "user_id": 8, "address_text": "A, x"},
+            {"order_id": None, "user_id": 7},
+            {"order_id": 2, "user_id": 6, "order_discount": 3},
+        ],
+        files=["chunk_2", "chunk_10", "chunk_10", "chunk_2"],
+    )
+    found = {r.order_id: r for r in core.orders(chunk).collect()}
+    assert core.orders(chunk).columns == CORE["orders"].names
+    assert sorted(found) == [1, 2]
+    assert (found[1].user_id, found[1].delivery_city, found[1].delivery_cost) == (8, "A", None)
+    assert (found[2].user_id, found[2].delivery_city, found[2].order_discount) == (6, None, 3)
+
+
+def test_order_items_are_numbered_and_filled(make_chunk, rows_of):
+    chunk = make_chunk(
+        [
+            {"order_id": 1, "item_id": 5, "item_quantity": 2, "item_price": 3},
+            {"order_id": 1, "item_id": 5, "item_replaced_id": 6, "item_discount": 1},
+            {"order_id": 1, "item_id": 6, "item_canceled_quantity": 1},
+            {"order_id": 2, "item_id": 5},
+            {"order_id": None, "item_id": 5},
+            {"order_id": 2, "item_id": None},
+        ]
+    )
+    assert rows_of(core.order_items(chunk)) == [
+        ("1_5_0", 1, 5, 2, 3, 0, None, 0),
+        ("1_5_1", 1, 5, 0, 0, 0, 6, 1),
+        ("1_6_0", 1, 6, 0, 0, 1, None, 0),
+        ("2_5_0", 2, 5, 0, 0, 0, None, 0),
+    ]
+
+
+def test_numbers_go_on_across_files(make_chunk):
+    chunk = make_chunk([{"order_id": 1, "item_id": 5}] * 3, files=["chunk_1", "chunk_2", "chunk_2"])
+    assert sorted(r.id for r in core.order_items(chunk).collect()) == ["1_5_0", "1_5_1", "1_5_2"]
+
+
+def test_order_drivers_are_distinct(make_chunk, rows_of):
+    pairs = [(1, 5), (1, 5), (1, 6), (2, 5), (None, 5), (2, None)]
+    chunk = make_chunk([{"order_id": o, "driver_id": d} for o, d in pairs])
+    assert rows_of(core.order_drivers(chunk)) == [
+        ("1_5_0", 1, 5, True), ("1_6_0", 1, 6, True), ("2_5_0", 2, 5, True),
+    ]
+
+
+@pytest.mark.parametrize("table", CORE)
+def test_results_do_not_depend_on_partitioning(make_chunk, rows_of, table):
+    rng = random.Random(11)
+    files = [rng.choice(["chunk_1", "chunk_10", "chunk_2"]) for _ in range(120)]
+
+    def maybe(*values):
+        return rng.choice([None, *values])
+
+    chunk = make_chunk(
+        [
+            {
+                "user_id": maybe(1, 2, 3), "user_phone": maybe("8 1", "x"),
+                "driver_id": maybe(1, 2), "driver_phone": maybe("7", "8"),
+                "store_id": maybe(1, 2), "store_address": maybe("a,b", "c"),
+                "item_id": maybe(1, 2, 3), "item_title": maybe("t", "u"),
+                "order_id": maybe(*range(9)), "address_text": maybe("k,l", "m"),
+                "item_quantity": maybe(1, 2), "delivery_cost": maybe(1, 2),
+            }
+            for _ in range(120)
+        ],
+        files,
+    )
+    build = getattr(core, table)
+    assert build(chunk).columns == CORE[table].names
+    expected = rows_of(build(chunk.coalesce(1)))
+    assert rows_of(build(chunk.repartition(7))) == expected
+    if table == "order_items":
+        assert rows_of(build(chunk.repartition(7), hot_rows=0, slice_rows=3)) == expected
