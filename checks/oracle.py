@@ -303,7 +303,9 @@ FROM (SELECT store_id, {_DATE}, coalesce(sum(revenue_order), 0) AS revenue,
   count(*) AS orders_cnt, count(DISTINCT user_id) AS buyers_cnt
  FROM c_orders LEFT JOIN amounts USING (order_id) GROUP BY ALL)""",
         "c_orders", "c_order_items", "amounts"),
-    "mart_orders": _query("SELECT * FROM m_orders", *_FAN),
+    "mart_orders": _query(
+        "SELECT * REPLACE (CAST(turnover AS DOUBLE) AS turnover, CAST(revenue AS DOUBLE) AS"
+        " revenue, CAST(profit AS DOUBLE) AS profit) FROM m_orders", *_FAN),
     "mart_items": _query(
         "SELECT * FROM m_items", "c_orders", "c_stores", "c_order_items", "c_items", "m_items"
     ),

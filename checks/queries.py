@@ -189,6 +189,13 @@ def store_day_ratios(core: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def mart_orders(core: dict[str, DataFrame]) -> DataFrame:
+    """Amounts as doubles, since DuckDB and Spark show wide decimals differently."""
+    mart = marts.mart_orders(core)
+    amounts = ("turnover", "revenue", "profit")
+    return mart.withColumns({name: F.col(name).cast("double") for name in amounts})
+
+
 # --- audits ---
 
 def audit_nulls(core: dict[str, DataFrame]) -> DataFrame:
@@ -233,7 +240,7 @@ QUERIES: dict[str, Query] = {
     "driver_stats": _on_core(lambda core: marts.driver_stats(core["order_drivers"])),
     "order_status_counts": _on_core(order_status_counts),
     "store_day_ratios": _on_core(store_day_ratios),
-    "mart_orders": _on_core(marts.mart_orders),
+    "mart_orders": _on_core(mart_orders),
     "mart_items": _on_core(marts.mart_items),
     "audit_keys": _on_core(audits.audit_keys),
     "audit_references": _on_core(audits.audit_references),

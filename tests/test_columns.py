@@ -77,6 +77,9 @@ def test_to_int_fails_on_fractions_unless_told_otherwise(spark):
         (0, 5, 0.0),
         (5, 0, None),
         (10**15 + 5, 10**3, 10**12 + 0.01),
+        (4999999, 10**9, 0.0),  # just below a tie
+        (5000000, 10**9, 0.01),
+        (-1, 3, -0.33),
     ],
 )
 def test_ratio(spark, above, below, rounded):

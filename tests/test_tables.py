@@ -119,5 +119,5 @@ def test_jobs_end_to_end(spark, tmp_path, make_chunk, rows_of):
     jobs.build_marts(spark, str(tmp_path / "core"), str(tmp_path / "marts"))
     mart = spark.read.parquet(str(tmp_path / "marts" / "mart_orders"))
     assert mart.first().turnover == 20 and mart.first().created_orders_cnt == 4
-    assert mart.schema["turnover"].dataType == T.DecimalType(15, 2)
+    assert mart.schema["turnover"].dataType == T.DecimalType(38, 2)
     assert spark.read.parquet(str(tmp_path / "marts" / "mart_items")).count() == 1

@@ -80,8 +80,13 @@ def line_revenue() -> Column:
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Quotient rounded half away from zero to two places; null for a zero denominator.
 
-    The division runs on decimals: binary doubles would misplace exact ties.
+    Worked out in whole hundredths, as doubles would misplace exact ties.
     """
-    whole = T.DecimalType(20, 0)
-    quotient = numerator.cast(whole) / F.nullif(denominator, F.lit(0)).cast(whole)
-    return F.round(quotient, 2).cast("double")
+    above = numerator.cast(T.DecimalType(34, 0))
+    below = F.nullif(denominator, F.lit(0)).cast(T.DecimalType(20, 0))
+    twice = below * 2
+    top = F.abs(above) * 200 + below
+    # The remainder is taken off first, so this division is exact. (Integer
+    # division, "div", would wrap around silently beyond 64 bits.)
+    hundredths = (top - top % twice) / twice
+    return F.signum(above) * hundredths.cast("double") / 100

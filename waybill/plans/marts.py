@@ -104,13 +104,20 @@ def mart_orders(tables: Mapping[str, DataFrame]) -> DataFrame:
     only: that spreads a store holding a third of all orders over its members,
     and no rows are expanded per distinct count. What is left are sums, which
     one last aggregate combines before its shuffle, whatever a group's size.
+
+    Weighted amounts are wide decimals: the turnover of an order with many lines,
+    times its number of drivers, may pass 64 bits.
     """
     orders, stores = tables["orders"], tables["stores"]
     weight = F.coalesce("driver_rows", F.lit(1))
+
+    def weighted(amount: str) -> Column:
+        return F.col(amount).cast("decimal(19, 0)") * weight.cast("decimal(18, 0)")
+
     measures = {
-        "turnover": F.col("turnover_order") * weight,
-        "revenue": F.col("revenue_order") * weight,
-        "cost": F.col("delivery_cost").cast("long") * weight,
+        "turnover": weighted("turnover_order"),
+        "revenue": weighted("revenue_order"),
+        "cost": weighted("delivery_cost"),
         "driver_changes_cnt": F.col("has_driver_change") * weight,
         **{name: flag.cast("int") for name, flag in order_flags().items()},
     }
