@@ -1,8 +1,8 @@
 """The delivery chunk, derived from the given tables by one SELECT.
 
 Spark and DuckDB run the same text; ``{name}`` stands for the source of a table.
-Row order: chunk (as text), then order and line number. Chunk files and core
-tables are written to the shared folder once per application.
+Row order: chunk (as text), then order and line number. Chunk files, core tables
+and marts are written to the shared folder once per application.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from waybill.plans.core import core_tables
-from waybill.schemas import CORE, ROW_ORDER
+from waybill.plans.jobs import build_marts
+from waybill.schemas import CORE, MARTS, ROW_ORDER
 from waybill.session import pin
 from waybill.sinks.tables import write_core
 from waybill.sources.chunks import read_chunks
@@ -102,6 +103,12 @@ def written_core(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, "core", sf_dir, write)
 
 
+def written_marts(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with both marts, built from the core tables."""
+    core_folder = written_core(spark, sf_dir)
+    return _once(spark, "marts", sf_dir, lambda folder: build_marts(spark, core_folder, folder))
+
+
 def chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scan of the chunk files. Parquet written by Spark need not keep the order
     of rows, so the files carry it in two columns."""
@@ -118,6 +125,12 @@ def core(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return read_core(spark, path=written_core(spark, sf_dir), tables=CORE)
 
 
+def stored_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Both marts, read back from where they were written."""
+    folder = written_marts(spark, sf_dir)
+    return {m: spark.read.schema(s).parquet(f"{folder}/{m}") for m, s in MARTS.items()}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder in the checkpoint folder of the session."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -198,16 +198,13 @@ def mart_orders(core: dict[str, DataFrame]) -> DataFrame:
 
 # --- audits ---
 
-def audit_nulls(core: dict[str, DataFrame]) -> DataFrame:
-    return audits.audit_nulls(
-        {"mart_orders": marts.mart_orders(core), "mart_items": marts.mart_items(core)}
-    )
+def audit_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audits.audit_nulls(fixture.stored_marts(spark, sf_dir))
 
 
-def audit_ranges(core: dict[str, DataFrame]) -> DataFrame:
-    return audits.audit_ranges(
-        {**core, "mart_orders": marts.mart_orders(core), "mart_items": marts.mart_items(core)}
-    )
+def audit_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    core, stored = fixture.core(spark, sf_dir), fixture.stored_marts(spark, sf_dir)
+    return audits.audit_ranges({**core, **stored})
 
 
 QUERIES: dict[str, Query] = {
@@ -244,6 +241,6 @@ QUERIES: dict[str, Query] = {
     "mart_items": _on_core(marts.mart_items),
     "audit_keys": _on_core(audits.audit_keys),
     "audit_references": _on_core(audits.audit_references),
-    "audit_nulls": _on_core(audit_nulls),
-    "audit_ranges": _on_core(audit_ranges),
+    "audit_nulls": audit_nulls,
+    "audit_ranges": audit_ranges,
 }
