@@ -87,6 +87,15 @@ def test_ratio(spark, above, below, rounded):
     assert df.select(C.ratio(F.col("a"), F.col("b"))).first()[0] == rounded
 
 
+@pytest.mark.parametrize(
+    "above, below", [(10**16 - 1, 8), (10**16 + 4, 8), (-(10**18), 3), (10**25, 7)]
+)
+def test_large_ratios_are_as_exact_as_a_double(spark, above, below):
+    df = spark.createDataFrame([(str(above), below)], "a string, b bigint")
+    found = df.select(C.ratio(F.col("a").cast("decimal(38, 0)"), F.col("b"))).first()[0]
+    assert found == pytest.approx(above / below, rel=4e-16)
+
+
 def test_amounts_do_not_overflow_and_keep_the_discount_of_canceled_lines(spark):
     df = spark.createDataFrame(
         [(30_000, 2_000_000, 0, None), (3, 10, 3, 4), (2, 5, None, 1)],

@@ -80,13 +80,18 @@ def line_revenue() -> Column:
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Quotient rounded half away from zero to two places; null for a zero denominator.
 
-    Worked out in whole hundredths, as doubles would misplace exact ties.
+    Worked out in whole hundredths, as doubles would misplace exact ties: in 64 bits
+    where the numbers allow it, which is nearly always, else in wide decimals.
     """
-    above = numerator.cast(T.DecimalType(34, 0))
-    below = F.nullif(denominator, F.lit(0)).cast(T.DecimalType(20, 0))
-    twice = below * 2
-    top = F.abs(above) * 200 + below
-    # The remainder is taken off first, so this division is exact. (Integer
-    # division, "div", would wrap around silently beyond 64 bits.)
-    hundredths = (top - top % twice) / twice
-    return F.signum(above) * hundredths.cast("double") / 100
+    size, below = F.abs(numerator), F.nullif(denominator, F.lit(0))
+    short = size.cast("long") * 200 + below
+    long = size.cast("decimal(34, 0)") * 200 + below
+    twice = below.cast("decimal(20, 0)") * 2
+    hundredths = F.when(
+        (size < 10**16) & (below < 10**16), F.call_function("div", short, below * 2)
+    ).otherwise(
+        # Without its remainder the decimal divides exactly; "div" on decimals
+        # would wrap around silently beyond 64 bits.
+        (long - long % twice) / twice
+    )
+    return F.signum(numerator) * hundredths.cast("double") / 100
