@@ -109,6 +109,35 @@ def test_jdbc_writer_options(spark, monkeypatch):
     assert seen["batchsize"] == "10" and seen["truncate"] == "false"
 
 
+def test_core_is_read_over_jdbc_in_parts(spark, monkeypatch):
+    calls = {}
+    monkeypatch.setattr(
+        type(spark.read), "jdbc", lambda self, url, table, **rest: calls.update({table: (url, rest)})
+    )
+    split = {"column": "order_id", "lowerBound": 1, "upperBound": 9, "numPartitions": 4}
+    read_core(spark, jdbc={"url": "jdbc:x", "user": "u"}, partitioning={"orders": split},
+              tables=["orders", "stores"])
+    assert calls == {
+        "orders": ("jdbc:x", {"properties": {"user": "u"}, **split}),
+        "stores": ("jdbc:x", {"properties": {"user": "u"}}),
+    }
+
+
+def test_a_mart_table_with_narrow_types_keeps_them(spark, core_frames, database):
+    table = f"{database}.narrow"
+    kinds = {T.LongType(): "int", T.DecimalType(38, 2): "decimal(15, 2)"}
+    columns = ", ".join(
+        f"{f.name} {kinds.get(f.dataType, f.dataType.simpleString())}"
+        for f in MARTS["mart_orders"]
+    )
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet")
+    sinks.write_mart(marts.mart_orders(core_frames), "mart_orders", table=table)
+    row = spark.table(table).first()
+    assert spark.table(table).schema["turnover"].dataType == T.DecimalType(15, 2)
+    assert spark.table(table).schema["buyers_cnt"].dataType == T.IntegerType()
+    assert (row.turnover, row.created_orders_cnt) == (120, 12)
+
+
 def test_jobs_end_to_end(spark, tmp_path, make_chunk, rows_of):
     chunk = make_chunk(
         [{"order_id": o, "item_id": 1, "driver_id": 1, "user_id": 1, "store_id": 1,
