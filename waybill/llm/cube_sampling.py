@@ -15,7 +15,7 @@ from waybill.llm.frames import new_name, row_key, text_of, words_of, written
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST_COPIES = 3
 # Units of a source that one task moves through the constraints.
-CELL_UNITS = 20_000
+CELL_UNITS = 4_000
 _EPS = 1e-9
 
 
