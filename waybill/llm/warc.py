@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the format.
@@ -48,13 +48,6 @@ def one_line(value: str) -> str:
     return " ".join(value.split())
 
 
-def record(headers: list[tuple[str, str | None]], block: str) -> str:
-    """Header lines, blank line and block; absent headers are left out. The two line
-    ends that close a record are put in by ``write_warc``."""
-    lines = [VERSION, *[f"{name}: {one_line(value)}" for name, value in headers if value is not None]]
-    return CRLF.join(lines) + CRLF + CRLF + block
-
-
 def parse(text: str) -> tuple[dict[str, str], str]:
     """Headers and block of one record."""
     head, _, rest = text.partition(CRLF + CRLF)
@@ -90,26 +83,18 @@ def _derive(response: dict) -> list[dict]:
     out = []
     for kind, block in blocks.items():
         data = block.encode()
-        row = {
-            "warc_type": kind, "record_id": ids[kind], "refers_to": source, "target_uri": uri,
-            "date": date, "content_type": FIELDS_TYPE if kind == "metadata" else TEXT_TYPE,
+        out.append({
+            "warc_type": kind, "record_id": ids[kind], "refers_to": source,
+            "concurrent_to": ids["conversion" if kind == "metadata" else "metadata"],
+            "target_uri": uri, "date": date, "content_type": FIELDS_TYPE if kind == "metadata" else TEXT_TYPE,
             "content_length": len(data), "block_digest": digest(data),
             "source_payload_digest": payload_digest, "block": block,
-        }
-        row["record"] = record(
-            [("WARC-Type", kind), ("WARC-Record-ID", ids[kind]), ("WARC-Refers-To", source),
-             ("WARC-Refers-To-Target-URI", uri), ("WARC-Refers-To-Date", date),
-             ("WARC-Concurrent-To", ids["conversion" if kind == "metadata" else "metadata"]),
-             ("WARC-Target-URI", uri), ("WARC-Date", date), ("WARC-Block-Digest", row["block_digest"]),
-             ("Content-Type", row["content_type"]), ("Content-Length", str(len(data)))],
-            block,
-        )
-        out.append(row)
+        })
     return out
 
 
-_COLUMNS = ["warc_type", "record_id", "refers_to", "target_uri", "date", "content_type",
-            "content_length", "block_digest", "source_payload_digest", "block", "record"]
+_COLUMNS = ["warc_type", "record_id", "refers_to", "concurrent_to", "target_uri", "date",
+            "content_type", "content_length", "block_digest", "source_payload_digest", "block"]
 _INPUT = ["record_id", "target_uri", "date", "http_headers", "payload", "payload_digest"]
 _ARROW = pa.schema([(c, pa.int64() if c == "content_length" else pa.string()) for c in _COLUMNS])
 
@@ -132,7 +117,7 @@ def derivatives(responses: DataFrame) -> DataFrame:
     out. Ids follow from the response's id, so reruns agree and repeated rows repeat their records.
     No shuffle; each row by itself.
 
-    Columns: as in ``_COLUMNS``; ``record`` is the whole record as ``write_warc`` stores it.
+    Columns: as in ``_COLUMNS``; ``record`` makes a whole record of them.
     """
     schema = ", ".join(f"{c} {'long' if c == 'content_length' else 'string'}" for c in _COLUMNS)
     return responses.select(*[F.col(c).cast("string").alias(c) for c in _INPUT]).mapInArrow(
@@ -160,8 +145,28 @@ def responses_of_pages(pages: DataFrame, date: str = "1970-01-01T00:00:00Z") ->
     )
 
 
+# Header names, and the columns they take their values from.
+HEADERS = {
+    "WARC-Type": "warc_type", "WARC-Record-ID": "record_id", "WARC-Refers-To": "refers_to",
+    "WARC-Refers-To-Target-URI": "target_uri", "WARC-Refers-To-Date": "date",
+    "WARC-Concurrent-To": "concurrent_to", "WARC-Target-URI": "target_uri", "WARC-Date": "date",
+    "WARC-Block-Digest": "block_digest", "Content-Type": "content_type",
+    "Content-Length": "content_length",
+}
+
+
+def record() -> Column:
+    """A record as text: header lines, blank line and block. Headers without a value
+    are left out; the two line ends that close a record are put in by ``write_warc``."""
+    lines = [
+        F.concat(F.lit(f"{name}: "), F.regexp_replace(F.col(column).cast("string"), r"\s+", " "))
+        for name, column in HEADERS.items()
+    ]
+    return F.concat(F.concat_ws(CRLF, F.lit(VERSION), *lines), F.lit(CRLF + CRLF), F.col("block"))
+
+
 def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None:
     """Store records as WARC files, one a task."""
-    records.select("record").write.option("lineSep", CRLF + CRLF).option(
+    records.select(record().alias("record")).write.option("lineSep", CRLF + CRLF).option(
         "compression", compression
     ).text(path)
