@@ -222,11 +222,11 @@ def mixture(docs: DataFrame, decisions: DataFrame, source: str = "source") -> Da
     )
     key, row = new_name(docs, "_row_key"), new_name(docs, "_row")
     same = (
-        (F.col(key) == F.col("_key")) & docs["doc_id"].eqNullSafe(F.col("_id"))
-        & docs[source].eqNullSafe(F.col("_source"))
+        (F.col(key) == wanted["_key"]) & docs["doc_id"].eqNullSafe(wanted["_id"])
+        & docs[source].eqNullSafe(wanted["_source"])
     )
+    times = F.explode(F.sequence(F.lit(1), wanted["_copies"])).alias(row)
     return (
         docs.withColumn(key, row_key()).join(wanted, same)
-        .select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias(row))
-        .drop(row)
+        .select(*[docs[c] for c in docs.columns], times).drop(row)
     )

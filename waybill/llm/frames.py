@@ -67,9 +67,9 @@ def without(docs: DataFrame, keys: DataFrame, how: str = "left_anti") -> DataFra
         F.col("doc_id").alias("_listed_id"), F.col("row_key").alias("_listed_key")
     )
     key = new_name(docs, "_key")
-    match = F.col(key) == F.col("_listed_key")
+    match = F.col(key) == listed["_listed_key"]
     return (
         docs.withColumn(key, row_key())
-        .join(listed, match & docs["doc_id"].eqNullSafe(F.col("_listed_id")), how)
+        .join(listed, match & docs["doc_id"].eqNullSafe(listed["_listed_id"]), how)
         .drop(key)
     )

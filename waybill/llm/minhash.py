@@ -277,4 +277,4 @@ def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one document a group."""
     gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     gone = written(gone, "gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
