@@ -7,7 +7,6 @@ and marts are written to the shared folder once per application.
 
 from __future__ import annotations
 
-import tempfile
 import threading
 import uuid
 from collections.abc import Callable
@@ -132,12 +131,13 @@ def stored_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder in the checkpoint folder of the session."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.gettempdir()
+    """A new folder that the driver and all executors share: below the checkpoint
+    folder of the session, or else its warehouse."""
+    root = (
+        spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.checkpoint.dir", None)
+        or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    )
     return f"{root.rstrip('/')}/waybill-{uuid.uuid4()}"
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks import fixture
 from waybill.functions.columns import (
@@ -23,7 +25,9 @@ from waybill.operators.dedup import first_per_key
 from waybill.operators.numbering import line_occurrence
 from waybill.plans import core as jobs
 from waybill.plans import marts
-from waybill.schemas import CHUNK, ROW_ORDER
+from waybill.schemas import CHUNK, MARTS, ROW_ORDER
+from waybill.sinks.tables import ensure_mart, write_mart
+from waybill.sources.core_tables import register_core
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -179,7 +183,7 @@ def store_day_ratios(core: dict[str, DataFrame]) -> DataFrame:
     )
 
     def share(above: str, below: str) -> Column:
-        return ratio(F.col(above), F.col(below))
+        return ratio(F.col(above), F.col(below)).cast("double")
 
     return days.select(
         "store_id", "year_num", "month_num", "day_num",
@@ -191,9 +195,42 @@ def store_day_ratios(core: dict[str, DataFrame]) -> DataFrame:
 
 def mart_orders(core: dict[str, DataFrame]) -> DataFrame:
     """Amounts as doubles, since DuckDB and Spark show wide decimals differently."""
-    mart = marts.mart_orders(core)
-    amounts = ("turnover", "revenue", "profit")
-    return mart.withColumns({name: F.col(name).cast("double") for name in amounts})
+    return _double_amounts(marts.mart_orders(core))
+
+
+def _double_amounts(mart: DataFrame) -> DataFrame:
+    wide = [f.name for f in mart.schema if isinstance(f.dataType, T.DecimalType)]
+    return mart.withColumns({name: F.col(name).cast("double") for name in wide})
+
+
+# --- sinks and views ---
+
+def mart_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart table with its columns in another order, refreshed twice and read back."""
+    table = f"refreshed_{uuid.uuid4().hex}"
+    mart = marts.mart_orders(fixture.core(spark, sf_dir))
+    columns = ", ".join(
+        f"{f.name} {f.dataType.simpleString()}" for f in sorted(MARTS["mart_orders"], key=lambda f: f.name)
+    )
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet")
+    for rows in (mart.limit(10), mart):
+        write_mart(rows, "mart_orders", table=table)
+    return _double_amounts(spark.table(table).select(MARTS["mart_orders"].names))
+
+
+def mart_recreate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart table made anew with the types of its rows, over one of other types."""
+    table = ensure_mart(spark, "mart_orders", f"recreated_{uuid.uuid4().hex}")
+    write_mart(mart_orders(fixture.core(spark, sf_dir)), "mart_orders", table=table, keep_schema=False)
+    return spark.table(table)
+
+
+def core_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_core(fixture.core(spark, sf_dir), prefix="core_view_")
+    return spark.sql("""
+SELECT s.store_id, s.store_city, count(DISTINCT o.order_id) AS orders_cnt, count(*) AS lines_cnt
+FROM core_view_orders o JOIN core_view_order_items l ON l.order_id = o.order_id
+LEFT JOIN core_view_stores s ON s.store_id = o.store_id GROUP BY s.store_id, s.store_city""")
 
 
 # --- audits ---
@@ -203,8 +240,9 @@ def audit_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    core, stored = fixture.core(spark, sf_dir), fixture.stored_marts(spark, sf_dir)
-    return audits.audit_ranges({**core, **stored})
+    """On tables as loaded, before their columns are narrowed, and on the stored marts."""
+    loaded = jobs.core_tables(fixture.chunk(spark, sf_dir))
+    return audits.audit_ranges({**loaded, **fixture.stored_marts(spark, sf_dir)})
 
 
 QUERIES: dict[str, Query] = {
@@ -241,6 +279,9 @@ QUERIES: dict[str, Query] = {
     "mart_items": _on_core(marts.mart_items),
     "audit_keys": _on_core(audits.audit_keys),
     "audit_references": _on_core(audits.audit_references),
+    "mart_refresh": mart_refresh,
+    "mart_recreate": mart_recreate,
+    "core_views": core_views,
     "audit_nulls": audit_nulls,
     "audit_ranges": audit_ranges,
 }

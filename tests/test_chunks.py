@@ -3,8 +3,10 @@ from datetime import datetime
 import pandas as pd
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from waybill.functions.columns import phone_col
 from waybill.schemas import CHUNK
 from waybill.sources.chunks import read_chunks
 
@@ -67,9 +69,7 @@ def test_files_of_different_types(spark, tmp_path):
     frame = write(tmp_path, "chunk_3.parquet", 1, order_id=[4])
     frame["item_replaced_id"] = pd.Series([None], dtype="object")  # a column without type
     frame.to_parquet(tmp_path / "chunk_3.parquet")
-    with pytest.raises(Exception, match="TYPE_MISMATCH"):
-        read_chunks(spark, str(tmp_path)).collect()
-    df = read_chunks(spark, str(tmp_path), mixed_types=True)
+    df = read_chunks(spark, str(tmp_path))
     found = df.orderBy("chunk_file", "chunk_row").select("order_id", "item_replaced_id").collect()
     assert [tuple(r) for r in found] == [(1, 5), (2, 6), (3, None), (None, 7), (4, None)]
 
@@ -91,3 +91,38 @@ def test_scan_reads_only_the_columns_asked_for(spark, tmp_path, plan_of):
     schema = plan[plan.index("ReadSchema"):]
     assert "user_id" in schema and "user_phone" not in schema
     assert "PushedFilters: [IsNotNull(user_id), GreaterThan(user_id,0)]" in plan
+
+
+def test_a_file_that_lacks_a_column_is_an_error(spark, tmp_path):
+    write(tmp_path, "chunk_1.parquet", 2, order_id=[1, 2], item_id=[1, 2])
+    frame = write(tmp_path, "chunk_2.parquet", 2, order_id=[3, 4], item_id=[3, 4])
+    frame.drop(columns="item_id").to_parquet(tmp_path / "chunk_2.parquet")
+    with pytest.raises(ValueError, match="chunk_2.parquet lacks the columns item_id"):
+        read_chunks(spark, str(tmp_path))
+
+
+def test_equal_names_in_deep_folders_keep_their_order(spark, tmp_path):
+    for folder, start in (("a/x", 0), ("b/x", 10)):
+        (tmp_path / folder).mkdir(parents=True)
+        write(tmp_path / folder, "chunk_1.parquet", 2, order_id=[start, start + 1])
+    df = read_chunks(spark, str(tmp_path), pattern="*/*/chunk_*.parquet")
+    found = df.orderBy("chunk_file", "chunk_row").select("order_id").collect()
+    assert [r[0] for r in found] == [0, 1, 10, 11]
+
+
+def test_numeric_phones_keep_their_digits(spark, tmp_path):
+    write(tmp_path, "chunk_1.parquet", 2, user_phone=["8", None])
+    frame = write(tmp_path, "chunk_2.parquet", 2)
+    frame["user_phone"] = [9161234567.0, float("nan")]
+    frame.to_parquet(tmp_path / "chunk_2.parquet")
+    rows = read_chunks(spark, str(tmp_path)).orderBy("chunk_file", "chunk_row").collect()
+    assert [r.user_phone for r in rows] == ["8", None, "9161234567.0", None]
+    cleaned = read_chunks(spark, str(tmp_path)).select(phone_col(F.col("user_phone")).alias("p"))
+    assert "+91612345670" in [r.p for r in cleaned.collect()]
+
+
+def test_footers_behind_addresses_for_spark_alone(spark, tmp_path):
+    write(tmp_path, "chunk_1.parquet", 1, order_id=[7])
+    spark.conf.set("spark.hadoop.fs.viewfs.mounttable.chunks.link./in", f"file://{tmp_path}")
+    spark.conf.set("fs.viewfs.mounttable.chunks.link./in", f"file://{tmp_path}")
+    assert read_chunks(spark, "viewfs://chunks/in").first().order_id == 7

@@ -1,10 +1,12 @@
 import random
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from checks.literal import LITERAL
+from waybill.functions.columns import ratio
 from waybill.plans import marts
 from waybill.schemas import CORE, MARTS
 from waybill.sources.core_tables import register_core
@@ -195,7 +197,7 @@ def test_amounts_beyond_64_bits(spark, make_core):
     assert turnover > 2**63
     assert (row.turnover, row.profit) == (turnover, turnover - 200_000)
     assert (row.driver_changes_cnt, row.active_drivers_cnt) == (200_000, 200_000)
-    assert row.avg_check == float(turnover)
+    assert row.avg_check == turnover
 
 
 def test_day_is_taken_in_utc(make_core):
@@ -203,3 +205,13 @@ def test_day_is_taken_in_utc(make_core):
         make_core(orders=[order(1, created_at=datetime(2023, 12, 31, 23, 59))])
     ).first()
     assert (row.year_num, row.month_num, row.day_num) == (2023, 12, 31)
+
+
+@pytest.mark.parametrize("above, below, exact", [
+    (90071992547409931, 3, "30023997515803310.33"), (10**20 + 1, 4, "25000000000000000000.25"),
+    (-1, 200, "-0.01"), (1, 3, "0.33"), (5, 0, None), (0, 7, "0.00"),
+])
+def test_ratios_are_exact_decimals(spark, above, below, exact):
+    numbers = spark.sql(f"SELECT CAST({above} AS DECIMAL(38, 0)) AS a, CAST({below} AS BIGINT) AS b")
+    (found,) = numbers.select(ratio(F.col("a"), F.col("b"))).first()
+    assert found == (Decimal(exact) if exact else None)

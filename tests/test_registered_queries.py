@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import connect, difference
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,10 +16,11 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_equals_sql(spark, connection, name):
     found = entry.queries()[name](spark, SF)
     assert difference(found, connection, entry.oracle_sql()[name]) is None

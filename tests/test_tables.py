@@ -150,3 +150,10 @@ def test_jobs_end_to_end(spark, tmp_path, make_chunk, rows_of):
     assert mart.first().turnover == 20 and mart.first().created_orders_cnt == 4
     assert mart.schema["turnover"].dataType == T.DecimalType(38, 2)
     assert spark.read.parquet(str(tmp_path / "marts" / "mart_items")).count() == 1
+
+
+def test_a_mart_table_with_other_columns_is_an_error(spark):
+    spark.sql("CREATE TABLE narrow_mart (year_num INT, city STRING) USING parquet")
+    rows = spark.createDataFrame([], MARTS["mart_orders"])
+    with pytest.raises(ValueError, match="narrow_mart has the columns"):
+        sinks.write_mart(rows, "mart_orders", table="narrow_mart")

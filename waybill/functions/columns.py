@@ -5,6 +5,8 @@ Built-in functions only, so all of them stay inside whole-stage codegen.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +50,17 @@ def to_int(value: Column, have: T.DataType, want: T.DataType, strict: bool = Tru
     return value.cast(want)
 
 
+def whole_number_text(value: Column, strict: bool = True) -> Column:
+    """A phone that a file stores as a double, as text: its digits in full and one
+    decimal, never with an exponent. NaN becomes null; fractions fail in strict mode."""
+    value = F.when(~F.isnan(value), value.cast("double"))
+    text = value.cast("decimal(38, 1)").cast("string")
+    if not strict:
+        return text
+    message = F.concat(F.lit("not a whole number: "), value.cast("string"))
+    return F.when(value.isNull() | (value == F.floor(value)), text).otherwise(F.raise_error(message))
+
+
 def order_city(delivery_city: Column, store_city: Column) -> Column:
     return F.coalesce(delivery_city, store_city, F.lit(NO_CITY))
 
@@ -78,7 +91,8 @@ def line_revenue() -> Column:
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
-    """Quotient rounded half away from zero to two places; null for a zero denominator.
+    """Quotient rounded half away from zero to two places, as DECIMAL(38, 2); null for a
+    zero denominator.
 
     Worked out in whole hundredths, as doubles would misplace exact ties: in 64 bits
     where the numbers allow it, which is nearly always, else in wide decimals.
@@ -87,11 +101,13 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     short = size.cast("long") * 200 + below
     long = size.cast("decimal(34, 0)") * 200 + below
     twice = below.cast("decimal(20, 0)") * 2
+    whole = "decimal(35, 0)"
     hundredths = F.when(
-        (size < 10**16) & (below < 10**16), F.call_function("div", short, below * 2)
+        (size < 10**16) & (below < 10**16), F.call_function("div", short, below * 2).cast(whole)
     ).otherwise(
         # Without its remainder the decimal divides exactly; "div" on decimals
         # would wrap around silently beyond 64 bits.
-        (long - long % twice) / twice
+        ((long - long % twice) / twice).cast(whole)
     )
-    return F.signum(numerator) * hundredths.cast("double") / 100
+    signed = F.when(numerator < 0, -hundredths).otherwise(hundredths)
+    return (signed * F.lit(Decimal("0.01"))).cast("decimal(38, 2)")

@@ -93,7 +93,12 @@ def write_mart(
     elif jdbc is not None:
         jdbc_writer(df, jdbc, table or mart, truncate=keep_schema).save()
     elif keep_schema:
-        df.write.insertInto(ensure_mart(df.sparkSession, mart, table), overwrite=True)
+        name = ensure_mart(df.sparkSession, mart, table)
+        # Spark inserts by position; the table may have its columns in another order.
+        columns = df.sparkSession.table(name).columns
+        if set(columns) != set(df.columns):
+            raise ValueError(f"{name} has the columns {columns}, not {df.columns}")
+        df.select(columns).write.insertInto(name, overwrite=True)
     else:
         df.write.mode("overwrite").format("parquet").saveAsTable(table or mart)
 

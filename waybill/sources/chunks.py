@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waybill.functions.columns import to_int
+from waybill.functions.columns import to_int, whole_number_text
 from waybill.schemas import CHUNK, ROW_ORDER
 from waybill.session import pin
 
@@ -22,32 +22,37 @@ def read_chunks(
     path: str,
     pattern: str = PATTERN,
     strict: bool = True,
-    mixed_types: bool = False,
     row_order: Sequence[str] | None = None,
 ) -> DataFrame:
     """All chunk files below ``path`` as one frame: 25 typed columns and the row order.
 
-    Rows are ordered by file path, compared as text (chunk_10 before chunk_2),
+    Rows are ordered by whole file path, compared as text (chunk_10 before chunk_2),
     and by row number in the file. Files that were rewritten since may keep their
     former file and row number in two columns, named by ``row_order``. A path
-    without chunk files is an error.
+    without chunk files is an error, and so is a file that lacks a column.
 
-    The physical types come from one footer. Files written by pandas may store
-    the same column as integers in one file and, because of nulls, as floats in
-    another; Spark refuses to read such files together. ``mixed_types`` then
-    reads every footer in a Spark job and scans each set of equal files apart.
+    Executors read every footer first. Files written by pandas may store the same
+    column as integers in one file and, because of nulls, as floats in another. What
+    Spark's reader can widen is read together; only files with 64-bit integers where
+    others have floats are scanned apart. The driver holds one row per different set of
+    types, and the paths of files only if they must be scanned apart.
     """
     pin(spark)
     glob = f"{path.rstrip('/')}/{pattern}"
-    if mixed_types:
-        if row_order:
-            raise ValueError("row_order needs files of equal types")
-        scans = [
-            spark.read.schema(schema).parquet(*files)
-            for schema, files in _files_by_schema(spark, glob)
-        ]
+    footers = footer_schemas(spark, glob)
+    schemas = footers.groupBy("schema").agg(F.min("path").alias("path")).collect()
+    found = {row.schema: _physical(row.schema, row.path) for row in schemas}
+    plans = _read_schemas(found)
+    reader = spark.read.option("basePath", path)
+    if len(set(map(str, plans.values()))) == 1:
+        (schema, *_) = plans.values()
+        scans = [reader.schema(_with_order(schema, row_order)).parquet(glob)]
     else:
-        scans = [spark.read.option("basePath", path).parquet(glob)]
+        scans = []
+        for text in sorted(set(map(str, plans.values()))):
+            own = [s for s, plan in plans.items() if str(plan) == text]
+            files = [r.path for r in footers.filter(F.col("schema").isin(own)).select("path").collect()]
+            scans.append(reader.schema(_with_order(plans[own[0]], row_order)).parquet(*sorted(files)))
     return reduce(DataFrame.unionByName, [conform_chunk(s, strict, row_order) for s in scans])
 
 
@@ -58,9 +63,7 @@ def conform_chunk(
     if row_order:
         file, row = (F.col(name) for name in row_order)
     else:
-        # Directory and name: enough to tell files apart, and short in a shuffle.
-        file = F.substring_index(F.col("_metadata.file_path"), "/", -2)
-        row = F.col("_metadata.row_index")
+        file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
     return df.select(
         *[_conform(df.schema[f.name].dataType, f, strict).alias(f.name) for f in CHUNK],
         file.alias(ROW_ORDER[0]),
@@ -73,38 +76,107 @@ def _conform(have: T.DataType, field: T.StructField, strict: bool) -> Column:
         return to_int(F.col(field.name), have, field.dataType, strict)
     if isinstance(field.dataType, T.TimestampType) and isinstance(have, T.LongType):
         return F.timestamp_micros(F.expr(f"{field.name} div 1000"))
+    if isinstance(field.dataType, T.StringType) and isinstance(have, (T.FloatType, T.DoubleType)):
+        return whole_number_text(F.col(field.name), strict)
     return F.col(field.name).cast(field.dataType)
 
 
-def _files_by_schema(spark: SparkSession, glob: str) -> list[tuple[T.StructType, list[str]]]:
-    """Chunk files grouped by their physical schema.
+def footer_schemas(spark: SparkSession, glob: str) -> DataFrame:
+    """(schema, path) of every file, read by the executors.
 
-    Footers are read by the executors. What reaches the driver is the list of
-    paths, which its file index holds for any scan anyway.
+    Footers are opened in place where the file system can be reached from Python;
+    the others are fetched by Spark's own reader, which knows every address it accepts.
     """
-    files = spark.read.format("binaryFile").load(glob).select("path")
-    footers = files.mapInPandas(_footer_schemas, "schema string, path string")
-    groups = footers.groupBy("schema").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    return [(T._parse_datatype_json_string(g.schema), g.paths) for g in groups.collect()]
+    files = spark.read.format("binaryFile").load(glob)
+    opened = files.select("path").mapInPandas(_open_footers, "schema string, path string")
+    closed = files.join(opened.filter("schema IS NULL").select("path"), "path", "left_semi")
+    fetched = closed.select("path", "content").mapInPandas(
+        _fetched_footers, "schema string, path string"
+    )
+    return opened.filter("schema IS NOT NULL").unionByName(fetched)
 
 
-def _footer_schemas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.fs
+def _schema_text(file) -> str:
+    """The contract's columns that an open file has, with their types in Spark."""
     import pyarrow.parquet
 
+    footer = pyarrow.parquet.ParquetFile(file)
+    columns = [footer.schema.column(i) for i in range(len(footer.schema))]
+    stored = {c.path: c.physical_type for c in columns}
+    have = [
+        T.StructField(
+            f.name,
+            # What Spark itself stores as a timestamp looks like nanoseconds elsewhere.
+            T.TimestampType() if stored[f.name] == "INT96"
+            else _spark_type(footer.schema_arrow.field(f.name).type),
+        )
+        for f in CHUNK
+        if f.name in stored
+    ]
+    return T.StructType(have).json()
+
+
+def _open_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pyarrow as pa
+    import pyarrow.fs
+
     for batch in batches:
         schemas = []
         for uri in batch["path"]:
-            system, name = pyarrow.fs.FileSystem.from_uri(uri)
-            footer = pyarrow.parquet.read_schema(name, filesystem=system)
-            schemas.append(
-                T.StructType(
-                    [T.StructField(f.name, _spark_type(footer.field(f.name).type)) for f in CHUNK]
-                ).json()
-            )
+            try:
+                system, name = pyarrow.fs.FileSystem.from_uri(uri)
+            except (pa.ArrowInvalid, OSError):  # an address for Spark alone
+                schemas.append(None)
+                continue
+            with system.open_input_file(name) as file:
+                schemas.append(_schema_text(file))
+        yield pd.DataFrame({"schema": schemas, "path": batch["path"]})
+
+
+def _fetched_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import io
+
+    for batch in batches:
+        schemas = [_schema_text(io.BytesIO(content)) for content in batch["content"]]
         yield pd.DataFrame({"schema": schemas, "path": batch["path"]})
 
 
+def _physical(schema: str, path: str) -> dict[str, T.DataType]:
+    types = {f.name: f.dataType for f in T._parse_datatype_json_string(schema)}
+    missing = [f.name for f in CHUNK if f.name not in types]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    return types
+
+
+def _read_schemas(found: dict[str, dict[str, T.DataType]]) -> dict[str, T.StructType]:
+    """With which types to read the files of each physical schema: the widest that all
+    files can be read with, else the widest of their own kind."""
+    small, floats = (T.ByteType, T.ShortType, T.IntegerType), (T.FloatType, T.DoubleType)
+
+    def read_type(name: str, have: T.DataType) -> T.DataType:
+        kinds = [types[name] for types in found.values()]
+        if len(set(map(str, kinds))) == 1:
+            return have
+        if all(isinstance(k, small + floats) for k in kinds):
+            return T.DoubleType() if any(isinstance(k, floats) for k in kinds) else T.IntegerType()
+        if isinstance(have, small + (T.LongType,)):
+            return T.LongType()
+        return T.DoubleType() if isinstance(have, floats) else have
+
+    return {
+        schema: T.StructType([T.StructField(f.name, read_type(f.name, types[f.name])) for f in CHUNK])
+        for schema, types in found.items()
+    }
+
+
+def _with_order(schema: T.StructType, row_order: Sequence[str] | None) -> T.StructType:
+    if not row_order:
+        return schema
+    file, row = row_order
+    return T.StructType([*schema, T.StructField(file, T.StringType()), T.StructField(row, T.LongType())])
+
+
 def _spark_type(arrow) -> T.DataType:
     import pyarrow as pa
     from pyspark.sql.pandas.types import from_arrow_type
