@@ -24,7 +24,9 @@ COUNT_BYTES = 16_000_000
 # many of the hashes each has; ``known``: bytes, 1 where the chunk itself repeats the hash.
 # With ``told``, the windows are known to be repeated and only pass through.
 _ASKED = "part int, told boolean, keys binary, counts binary, hashes binary, known binary"
-_TOLD = "key long, hashes binary"
+# Rows that meet in the last step, by group of documents (``part``): first what the
+# documents were told, one row per group and counting task, then each one's text.
+_MEETING = "part int, kind int, key long, doc_id long, packed binary, keys binary, counts binary, hashes binary"
 
 
 def _runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,61 +91,99 @@ def _ask(size: int, parts: int, chunk_windows: int):
     return run
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(parts: int):
     """Tell each document which of its hashes occur elsewhere, too."""
     def told(owners: np.ndarray, many: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
-        data, ends = hashes.tobytes(), np.cumsum(many) * 8
-        starts = ends - many * 8
-        return pa.record_batch(
-            [pa.array(owners.view(np.int64)),
-             pa.array([data[a:b] for a, b in zip(starts.tolist(), ends.tolist())], pa.binary())],
-            names=["key", "hashes"],
-        )
+        group = (owners % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        ends = np.cumsum(many)
+        starts = ends - many
+        owners, group, many, starts = owners[order], group[order], many[order], starts[order]
+        # Hashes follow their owners into the new order.
+        first = np.cumsum(many) - many
+        hashes = hashes[np.repeat(starts - first, many) + np.arange(len(hashes))]
+        at, count = _runs(group)
+        rows = []
+        for g, n in zip(at, count):
+            own, of = slice(g, g + n), slice(first[g], first[g] + many[g: g + n].sum())
+            rows.append((int(group[g]), owners[own].tobytes(),
+                         many[own].astype(np.uint32).tobytes(), hashes[of].tobytes()))
+        part, keys, counts, blobs = zip(*rows) if rows else ((),) * 4
+        n = len(rows)
+        return _meeting(part, 0, [None] * n, [None] * n, [None] * n, keys, counts, blobs)
 
-    all_hashes, all_keys, all_known = [], [], []
-    for batch in batches:
-        for row in batch.to_pylist():
-            owners = np.frombuffer(row["keys"], np.uint64)
-            many = np.frombuffer(row["counts"], np.uint32).astype(np.int64)
-            hashes = np.frombuffer(row["hashes"], np.uint64)
-            if row["told"]:
-                yield told(owners, many, hashes)
-            else:
-                all_hashes.append(hashes)
-                all_keys.append(np.repeat(owners, many))
-                all_known.append(np.frombuffer(row["known"], np.uint8))
-    if not all_hashes:
-        return
-    hashes, keys = np.concatenate(all_hashes), np.concatenate(all_keys)
-    known = np.concatenate(all_known)
-    del all_hashes, all_keys, all_known
-    order = np.argsort(hashes)
-    start, count = _runs(hashes[order])
-    # A hash that its chunk repeats has been told there.
-    news = order[np.repeat((count > 1) | (np.maximum.reduceat(known[order], start) > 0), count)]
-    news = news[known[news] == 0]
-    yield told(*_grouped(keys[news], hashes[news]))
-
-
-def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    press = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        packed = [press.compress((t or "").encode()) for t in batch.column(2).to_pylist()]
-        yield pa.record_batch(
-            [batch.column(0), batch.column(1), pa.array(packed, pa.binary())],
-            names=["key", "doc_id", "packed"],
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        all_hashes, all_keys, all_known = [], [], []
+        for batch in batches:
+            for row in batch.to_pylist():
+                owners, many, hashes = _unpacked(row)
+                if row["told"]:
+                    yield told(owners, many, hashes)
+                else:
+                    all_hashes.append(hashes)
+                    all_keys.append(np.repeat(owners, many))
+                    all_known.append(np.frombuffer(row["known"], np.uint8))
+        if not all_hashes:
+            return
+        hashes, keys = np.concatenate(all_hashes), np.concatenate(all_keys)
+        known = np.concatenate(all_known)
+        order = np.argsort(hashes)
+        start, count = _runs(hashes[order])
+        # A hash that its chunk repeats has been told there.
+        repeated = (count > 1) | (np.maximum.reduceat(known[order], start) > 0)
+        news = order[np.repeat(repeated, count)]
+        news = news[known[news] == 0]
+        yield told(*_grouped(keys[news], hashes[news]))
+
+    return run
+
+
+def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owners, their number of hashes, and the hashes."""
+    return (
+        np.frombuffer(row["keys"], np.uint64),
+        np.frombuffer(row["counts"], np.uint32).astype(np.int64),
+        np.frombuffer(row["hashes"], np.uint64),
+    )
+
+
+def _meeting(part, kind, key, doc_id, packed, keys, counts, hashes) -> pa.RecordBatch:
+    kinds = {"part": pa.int32(), "kind": pa.int32(), "key": pa.int64(), "doc_id": pa.int64()}
+    names = "part kind key doc_id packed keys counts hashes".split()
+    columns = part, [kind] * len(part), key, doc_id, packed, keys, counts, hashes
+    return pa.record_batch(
+        [pa.array(c, kinds.get(n, pa.binary())) for n, c in zip(names, columns)], names=names
+    )
+
+
+def _compress(parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            part = (keys.view(np.uint64) % np.uint64(parts)).astype(np.int32)
+            packed = [press.compress((t or "").encode()) for t in batch.column(2).to_pylist()]
+            nothing = [None] * len(part)
+            yield _meeting(part, 1, keys, batch.column(1), packed, nothing, nothing, nothing)
+
+    return run
 
 
 def _remove(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
+        told: dict[int, list[np.ndarray]] = {}
         for batch in batches:
-            ids, packed, repeated = (batch.column(i) for i in range(3))
-            for at in range(0, len(ids), 500):
-                texts = [unpack.decompress(t.as_py()) for t in packed.slice(at, 500)]
-                told = repeated.slice(at, 500).to_pylist()
-                yield _cut(ids.slice(at, 500), texts, told, size)
+            kinds = batch.column(1).to_numpy()
+            texts_from = int(np.searchsorted(kinds, 1))  # sorted: the tellings come first
+            for row in batch.slice(0, texts_from).to_pylist():
+                owners, many, hashes = _unpacked(row)
+                for owner, own in zip(owners.view(np.int64).tolist(), np.split(hashes, np.cumsum(many)[:-1])):
+                    told.setdefault(owner, []).append(own)
+            for at in range(texts_from, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                texts = [unpack.decompress(t.as_py()) for t in part.column(4)]
+                yield _cut(part.column(3), texts, [told.get(k) for k in part.column(2).to_pylist()], size)
 
     return run
 
@@ -160,8 +200,7 @@ def _cut(ids: pa.Array, texts: list[bytes], told: list, size: int) -> pa.RecordB
         for k in range(block.size):
             i = hit[block.first + k]
             own = slice(bounds[k], bounds[k + 1])
-            repeated = np.frombuffer(b"".join(told[i]), np.uint64)
-            starts = place[own][np.isin(found[own], repeated)] - block.start[k]
+            starts = place[own][np.isin(found[own], np.concatenate(told[i]))] - block.start[k]
             steps = np.zeros(block.count[k] + 1, np.int32)
             np.add.at(steps, starts, 1)
             np.add.at(steps, starts + size, -1)
@@ -196,9 +235,10 @@ def substring_dedup(
     1. Tasks hash every window of their documents and combine chunks of them: windows
        that a chunk repeats are decided there, and every different hash is sent on
        once. A passage found in a third of all rows costs one hash a chunk.
-    2. Hashes meet by value. Documents are told which of theirs are repeated.
-    3. What a document was told is joined to its (compressed) text, and repeated
-       windows are merged into intervals that are cut out.
+    2. Hashes meet by value. Documents are told which of theirs are repeated, one row
+       for each group of documents.
+    3. What documents were told meets their (compressed) texts group by group, and
+       repeated windows are merged into intervals that are cut out.
 
     Two different windows count as equal if their 64-bit hashes are; among N
     windows expect N * N / 2**65 such pairs.
@@ -213,14 +253,11 @@ def substring_dedup(
         int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-volume // count_bytes)
     )
     asked = texts.select("key", "text").mapInArrow(_ask(window, parts, chunk_windows), _ASKED)
-    told = (
-        asked.repartitionById(parts, F.col("part")).mapInArrow(_count, _TOLD)
-        .groupBy(F.col("key").alias("told_key")).agg(F.collect_list("hashes").alias("told"))
-    )
-    packed = texts.mapInArrow(_compress, "key long, doc_id long, packed binary")
+    told = asked.repartitionById(parts, F.col("part")).mapInArrow(_count(parts), _MEETING)
+    packed = texts.mapInArrow(_compress(parts), _MEETING)
     return (
-        packed.join(told, F.col("key") == F.col("told_key"), "left")
-        .select("doc_id", "packed", "told")
+        told.unionByName(packed).repartitionById(parts, F.col("part"))
+        .sortWithinPartitions("kind")
         .mapInArrow(
             _remove(window),
             "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string",
