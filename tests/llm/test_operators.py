@@ -1,6 +1,7 @@
 """Every operator against brute force over whole small tables with edge cases."""
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -332,6 +333,39 @@ def test_near_duplicates(spark, docs, plain):
         (d, len(shingles(t)), find(d), find(d) == d) for d, t, _ in every.collect())
 
 
+@pytest.mark.parametrize("often", [0, 3, 1000])
+def test_common_counts(often, monkeypatch):
+    monkeypatch.setattr(minhash, "_OFTEN", often)
+    rng = np.random.default_rng(often)
+    sets = [np.unique(rng.integers(0, 60, k)).astype(np.uint32) for k in rng.integers(0, 40, 30)]
+    counts = minhash.common_counts(sets)
+    for i, j in itertools.permutations(range(30), 2):
+        assert counts[i, j] == len(np.intersect1d(sets[i], sets[j]))
+
+
+@pytest.mark.parametrize("limits", [(1000, 500_000), (3, 500_000), (1000, 300)])
+def test_tiles_find_every_link_of_a_bucket(spark, limits, monkeypatch):
+    monkeypatch.setattr(minhash, "TILE_MEMBERS", limits[0])
+    monkeypatch.setattr(minhash, "TILE_SHINGLES", limits[1])
+    base = [f"t{i}" for i in range(80)]
+    rows = []
+    for k in range(24):
+        # 2k and 2k + 1 differ at two neighbouring places, others at many.
+        own = [f"e{i}" if (i + k // 2) % 16 == 0 else w for i, w in enumerate(base)]
+        own[k % 80] = f"x{k}"
+        rows.append((k, " ".join(own)))
+    texts = spark.createDataFrame(rows, "id long, text string")
+    members = spark.createDataFrame(
+        [(7, k, len(shingles(t)), k if k > 3 else 0) for k, t in rows],
+        "bucket long, id long, n long, component long")
+    sets = {k: shingles(t) for k, t in rows}
+    expected = {
+        (a, b) for a, b in itertools.combinations(sets, 2)
+        if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) and not b <= 3}
+    found = minhash.pairs_in_tiles(members, texts, 75).collect()
+    assert expected and {tuple(r) for r in found} == expected
+
+
 def test_null_ids_get_the_component_of_their_set(spark):
     rows = [(None, "a b"), (3, "a b"), (None, "x y"), (None, None)]
     found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,10 @@ SHINGLE = 5
 SIMILARITY_PERCENT = 75
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS  # a power of two
+# A bucket that stars leave open is compared in tiles of about so many documents and shingles.
+TILE_MEMBERS, TILE_SHINGLES = 1000, 500_000
+# Shingles of more documents than this are counted by a matrix product, others one by one.
+_OFTEN = 32
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -183,6 +188,97 @@ def star_edges(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
 
 
+def _short_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (id, text) the shingle set as distinct 32-bit hashes in one byte string."""
+    for batch in batches:
+        for block in blocks(batch.column(1), lower=True):
+            found, owner = shingle_sets(block, SHINGLE)
+            short = (found >> np.uint64(32)).astype(np.uint32)
+            bounds = np.searchsorted(owner, np.arange(block.size + 1))
+            sets = [np.unique(short[a:b]).tobytes() for a, b in zip(bounds, bounds[1:])]
+            yield pa.record_batch(
+                [batch.column(0).slice(block.first, block.size), pa.array(sets, pa.binary())],
+                names=["id", "shingles"],
+            )
+
+
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Size of the intersection of every two sets, each without repeats."""
+    most = len(sets)
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(most), [len(s) for s in sets])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    start = np.flatnonzero(np.r_[True, values[1:] != values[:-1]][: len(values)])
+    count = np.diff(np.r_[start, len(values)])
+    common = np.zeros(most * most, np.float32)
+    for times in range(2, _OFTEN + 1):
+        rows = owner[start[count == times][:, None] + np.arange(times)]
+        np.add.at(common, (rows[:, :, None] * most + rows[:, None, :]).ravel(), 1)
+    common = common.reshape(most, most)
+    often = np.flatnonzero(count > _OFTEN)
+    for at in range(0, len(often), 1024):
+        chosen = often[at: at + 1024]
+        has = np.zeros((most, len(chosen)), np.float32)
+        for column, k in enumerate(chosen):
+            has[owner[start[k]: start[k] + count[k]], column] = 1
+        common += has @ has.T
+    return common
+
+
+def _links_in_tile(percent: int):
+    """Pairs of a tile, in different groups, that are similar by their 32-bit hashes.
+    Hashes that a set lost to collisions are granted, so that no link is left out."""
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("id", ignore_index=True)
+        ids, n = frame["id"].to_numpy(), frame["n"].to_numpy()
+        group = frame["component"].to_numpy()
+        sets = [np.frombuffer(b, np.uint32) for b in frame["shingles"]]
+        lost = n - np.array([len(s) for s in sets])
+        counts = common_counts(sets)
+        found = []
+        for i in range(len(ids) - 1):
+            both = counts[i, i + 1:] + lost[i] + lost[i + 1:]
+            enough = (100 + percent) * both >= percent * (n[i] + n[i + 1:])
+            hit = np.flatnonzero(enough & (group[i + 1:] != group[i])) + i + 1
+            found.append((np.full(len(hit), ids[i]), ids[hit]))
+        a, b = (np.concatenate([f[k] for f in found] or [ids[:0]]) for k in (0, 1))
+        return pd.DataFrame({"a": a, "b": b})
+
+    return run
+
+
+def pairs_in_tiles(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(a, b): members of one bucket, in different groups, that are similar.
+
+    A bucket is cut into tiles of bounded size and every two tiles are compared as a task's
+    matrix. So even a huge bucket is many tasks, and only similar pairs become rows.
+    """
+    ids = members.select("id").distinct()
+    sets = written(
+        texts.join(ids, "id", "left_semi").select("id", "text")
+        .mapInArrow(_short_hashes, "id long, shingles binary"),
+        "sets",
+    )
+    tiles = members.groupBy("bucket").agg(
+        F.ceil(F.greatest(F.count("*") / TILE_MEMBERS, F.sum("n") / TILE_SHINGLES)).alias("tiles")
+    )
+    tile = F.pmod(F.xxhash64("id"), F.col("tiles"))
+    # Every tile meets every other; a single one, itself.
+    others = F.filter(
+        F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1), lambda t: (t != tile) | (F.col("tiles") == 1)
+    )
+    tiled = members.join(tiles, "bucket").select(
+        "bucket", "id", "n", "component", tile.alias("tile"), F.explode(others).alias("other")
+    )
+    return (
+        tiled.join(sets, "id").groupBy(
+            "bucket", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high")
+        )
+        .applyInPandas(_links_in_tile(percent), "a long, b long").distinct()
+    )
+
+
 def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """Group the rows of ``docs`` (doc_id, text) whose word shingle sets are similar.
 
@@ -199,6 +295,8 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
     3. Each bucket gives a star: its best connected document with each other one.
        Links are confirmed on full sets. While buckets hold several groups and the
        last round found links, each such bucket gives a star around its next best document.
+    4. What stars leave over, members of a bucket in different groups, is compared in tiles,
+       and what is similar confirmed. So no link is lost because neither document was a hub.
 
     Columns: doc_id, n_shingles, component_id, kept (doc_id = component_id).
     """
@@ -257,6 +355,10 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
         open_members = written(
             labelled.join(split, "bucket").join(used, ["bucket", "id"], "left_anti"), "members"
         )
+    rest = written(pairs_in_tiles(open_members, texts, percent), "rest")
+    found = written(confirmed(rest, texts, percent), "links")
+    if not found.isEmpty():
+        components = least_reachable(found if links is None else links.unionByName(found))
     return _grouped(sketches, classes, components)
 
 
