@@ -228,6 +228,9 @@ ORACLE: dict[str, str] = {
     "line_occurrence": _query(
         f"SELECT order_id, item_id, chunk_row, {_NUMBER} AS occurrence FROM chunk"
     ),
+    "line_occurrence_sliced": _query(
+        f"SELECT order_id, item_id, chunk_row, {_NUMBER} AS occurrence FROM chunk"
+    ),
     "clean_phones": _query(f"""
 SELECT 'user' AS party, user_id AS party_id, user_phone AS raw_phone,
  {_phone('user_phone')} AS phone FROM ({_first('user_id', 'user_phone')})

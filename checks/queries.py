@@ -69,9 +69,9 @@ def surrogate_key(chunk: DataFrame) -> DataFrame:
     return jobs.order_items(chunk).select("id", "order_id", "item_id")
 
 
-def line_numbers(chunk: DataFrame) -> DataFrame:
+def line_numbers(chunk: DataFrame, **limits: int) -> DataFrame:
     lines = chunk.select("order_id", "item_id", *jobs.MEASURES, *ROW_ORDER)
-    numbered = line_occurrence(lines, ["order_id", "item_id"], ties=jobs.MEASURES)
+    numbered = line_occurrence(lines, ["order_id", "item_id"], ties=jobs.MEASURES, **limits)
     return numbered.select("order_id", "item_id", "chunk_row", F.col("occurrence").cast("long"))
 
 
@@ -251,6 +251,8 @@ QUERIES: dict[str, Query] = {
     "fill_measures": _on_chunk(fill_measures),
     "surrogate_key": _on_chunk(surrogate_key),
     "line_occurrence": _on_chunk(line_numbers),
+    # Every group is cut into slices, also those that one window could number.
+    "line_occurrence_sliced": _on_chunk(lambda chunk: line_numbers(chunk, hot_rows=0, slice_rows=1000)),
     "clean_phones": _on_chunk(clean_phones),
     "store_address_parts": _on_chunk(store_address_parts),
     "delivery_city": _on_chunk(delivery_city),

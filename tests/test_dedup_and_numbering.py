@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waybill.operators.dedup import drop_null_keys, first_per_key
-from waybill.operators.numbering import hot_buckets, line_occurrence
+from waybill.operators.numbering import hot_keys, line_occurrence
 
 SCHEMA = "k bigint, v string, w int, chunk_file string, chunk_row bigint"
 
@@ -83,10 +83,10 @@ def test_line_occurrence_equals_brute_force(spark, limits, seed):
     assert sorted(tuple(r) for r in numbers) == brute_numbers(rows)
 
 
-def test_hot_buckets_hold_every_large_group(spark):
+def test_hot_keys_are_the_large_groups_alone(spark):
     df = spark.createDataFrame(random_rows(5), SCHEMA)
-    assert hot_buckets(df, ["k"], 100).count() == 1
-    assert hot_buckets(df, ["k"], 1000).count() == 0
+    assert hot_keys(df, ["k"], 100).count() == 1
+    assert hot_keys(df, ["k"], 1000).count() == 0
 
 
 def test_ties_make_the_numbers_reproducible(spark):

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.schemas import ROW_ORDER
@@ -12,19 +13,27 @@ from waybill.schemas import ROW_ORDER
 _BUCKETS = 65_536
 
 
-def hot_buckets(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Hash buckets of the keys that hold more than ``hot_rows`` rows.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """The key groups of more than ``hot_rows`` rows, null keys included.
 
-    Every key group that large lies in one of them. The result has at most
-    65,536 rows whatever the input, so it is safe to broadcast.
+    Counting every key would shuffle about as many rows as there are lines. So hash
+    buckets, 65,536 at most, are counted first, and keys only inside the buckets
+    that are large enough to hold such a group. There are at most
+    rows / ``hot_rows`` such keys, so the list is safe to broadcast.
     """
-    return (
-        df.groupBy(_bucket(keys)).count().filter(F.col("count") > hot_rows).select("_bucket")
-    )
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(_BUCKETS)).cast("int").alias("_bucket")
+    rows = df.select(*keys, bucket)
+    large = rows.groupBy("_bucket").count().filter(F.col("count") > hot_rows).select("_bucket")
+    inside = rows.join(F.broadcast(large), "_bucket", "left_semi")
+    counted = inside.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    return counted.filter(F.col("_rows") > hot_rows).select(*keys)
 
 
-def _bucket(keys: Sequence[str]):
-    return F.pmod(F.xxhash64(*keys), F.lit(_BUCKETS)).cast("int").alias("_bucket")
+def _renamed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``df`` with other names for the keys, and the null-safe match on them."""
+    other = df.withColumnsRenamed({key: f"_of_{key}" for key in keys})
+    match = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    return other, match
 
 
 def line_occurrence(
@@ -38,38 +47,39 @@ def line_occurrence(
 ) -> DataFrame:
     """Number the rows of each key group from 0 in row order.
 
-    Ordinary groups take one window. Groups in hot buckets are cut into slices
-    (file and block of row numbers), numbered per slice, and shifted by the size
+    Ordinary groups take one window. Groups of more than ``hot_rows`` rows are cut into
+    slices (file and block of row numbers), numbered per slice, and shifted by the size
     of the group's earlier slices, so no task sorts a whole hot group. Both ways
     give the same numbers. ``ties`` makes reruns agree when ``order`` is not unique.
     """
     file, row = order
-    hot = hot_buckets(df, keys, hot_rows).withColumn("_hot", F.lit(True))
+    hot, is_hot = _renamed(hot_keys(df, keys, hot_rows).withColumn("_hot", F.lit(True)), keys)
     block = F.floor(F.col(row) / slice_rows)
-    rows = (
-        df.withColumn("_bucket", _bucket(keys))
-        .join(F.broadcast(hot), "_bucket", "left")
-        .withColumn("_file", F.when(F.col("_hot"), F.col(file)))
-        .withColumn("_block", F.when(F.col("_hot"), block))
-        .drop("_bucket")
+    rows = df.join(F.broadcast(hot), is_hot, "left").select(
+        *df.columns,
+        "_hot",
+        F.when(F.col("_hot"), F.col(file)).alias("_file"),
+        F.when(F.col("_hot"), block).alias("_block"),
     )
-    slices = [*keys, "_file", "_block"]
 
-    within = Window.partitionBy(*slices).orderBy(file, row, *ties)
+    within = Window.partitionBy(*keys, "_file", "_block").orderBy(file, row, *ties)
     numbered = rows.withColumn("_number", F.row_number().over(within) - 1)
 
     earlier = Window.partitionBy(*keys).orderBy("_file", "_block").rowsBetween(
         Window.unboundedPreceding, -1
     )
     shifts = (
-        rows.filter("_hot").groupBy(*slices).agg(F.count("*").alias("_rows"))
+        rows.filter("_hot").groupBy(*keys, "_file", "_block").agg(F.count("*").alias("_rows"))
         .withColumn("_shift", F.sum("_rows").over(earlier))
         .filter("_shift > 0")
         .drop("_rows")
     )
+    shifts, same_key = _renamed(shifts, keys)
+    shifts = shifts.withColumnsRenamed({"_file": "_of_file", "_block": "_of_block"})
     # Ordinary rows have a null slice and so never match.
+    same_slice = (F.col("_file") == F.col("_of_file")) & (F.col("_block") == F.col("_of_block"))
     return (
-        numbered.join(shifts, slices, "left")
+        numbered.join(shifts, same_key & same_slice, "left")
         .withColumn(name, F.col("_number") + F.coalesce("_shift", F.lit(0)))
         .select(*df.columns, name)
     )
