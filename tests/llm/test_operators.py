@@ -364,6 +364,20 @@ def test_tiles_find_every_link_of_a_bucket(spark, limits, monkeypatch):
         if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) and not b <= 3}
     found = minhash.pairs_in_tiles(members, texts, 75).collect()
     assert expected and {tuple(r) for r in found} == expected
+    few = minhash.pairs_in_tiles(members, texts, 75, spanning=True)
+    assert {tuple(r) for r in few.collect()} <= expected
+    start = [(0, k) for k in range(1, 4)]
+    groups, least = (
+        dict(minhash.least_reachable(spark.createDataFrame(start + list(p), "a long, b long")).collect())
+        for p in (map(tuple, few.collect()), expected))
+    assert groups == least
+
+
+@pytest.mark.parametrize("gain", [1, 10**9])
+def test_groups_do_not_depend_on_when_stars_end(spark, docs, gain, monkeypatch):
+    usual = multiset(minhash.near_duplicates(docs).collect())
+    monkeypatch.setattr(minhash, "STAR_GAIN", gain)
+    assert multiset(minhash.near_duplicates(docs).collect()) == usual
 
 
 def test_null_ids_get_the_component_of_their_set(spark):

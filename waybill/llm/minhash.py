@@ -17,6 +17,8 @@ SHINGLE = 5
 SIMILARITY_PERCENT = 75
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS  # a power of two
+# Stars go on while more than one in so many of a round's pairs is a link.
+STAR_GAIN = 100
 # A bucket that stars leave open is compared in tiles of about so many documents and shingles.
 TILE_MEMBERS, TILE_SHINGLES = 1000, 500_000
 # Shingles of more documents than this are counted by a matrix product, others one by one.
@@ -188,14 +190,13 @@ def star_edges(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
 
 
-def _short_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (id, text) the shingle set as distinct 32-bit hashes in one byte string."""
+def _hash_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (id, text) the shingle set as hashes in one byte string."""
     for batch in batches:
         for block in blocks(batch.column(1), lower=True):
             found, owner = shingle_sets(block, SHINGLE)
-            short = (found >> np.uint64(32)).astype(np.uint32)
             bounds = np.searchsorted(owner, np.arange(block.size + 1))
-            sets = [np.unique(short[a:b]).tobytes() for a, b in zip(bounds, bounds[1:])]
+            sets = [found[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
             yield pa.record_batch(
                 [batch.column(0).slice(block.first, block.size), pa.array(sets, pa.binary())],
                 names=["id", "shingles"],
@@ -226,30 +227,35 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     return common
 
 
-def _links_in_tile(percent: int):
-    """Pairs of a tile, in different groups, that are similar by their 32-bit hashes.
-    Hashes that a set lost to collisions are granted, so that no link is left out."""
+def _links_in_tile(percent: int, spanning: bool):
+    """Pairs of a tile's similar documents of different groups; if ``spanning``, only as many
+    as it takes to connect those groups, so never more than documents."""
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("id", ignore_index=True)
-        ids, n = frame["id"].to_numpy(), frame["n"].to_numpy()
-        group = frame["component"].to_numpy()
-        sets = [np.frombuffer(b, np.uint32) for b in frame["shingles"]]
-        lost = n - np.array([len(s) for s in sets])
+        ids, group = frame["id"].to_numpy(), frame["component"].to_numpy().copy()
+        sets = [np.frombuffer(b, np.uint64) for b in frame["shingles"]]
+        n = np.array([len(s) for s in sets])
         counts = common_counts(sets)
         found = []
         for i in range(len(ids) - 1):
-            both = counts[i, i + 1:] + lost[i] + lost[i + 1:]
+            both = counts[i, i + 1:].astype(np.int64)
             enough = (100 + percent) * both >= percent * (n[i] + n[i + 1:])
             hit = np.flatnonzero(enough & (group[i + 1:] != group[i])) + i + 1
-            found.append((np.full(len(hit), ids[i]), ids[hit]))
-        a, b = (np.concatenate([f[k] for f in found] or [ids[:0]]) for k in (0, 1))
-        return pd.DataFrame({"a": a, "b": b})
+            if spanning:
+                joined, first = np.unique(group[hit], return_index=True)
+                hit = hit[first]
+                group[np.isin(group, joined)] = group[i]
+            found += [(ids[i], ids[j]) for j in hit]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return run
 
 
-def pairs_in_tiles(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """(a, b): members of one bucket, in different groups, that are similar.
+def pairs_in_tiles(
+    members: DataFrame, texts: DataFrame, percent: int, spanning: bool = False
+) -> DataFrame:
+    """(a, b): members of one bucket, in different groups, that are similar on full sets.
+    If ``spanning``, a tile gives only the pairs that it takes to connect its groups.
 
     A bucket is cut into tiles of bounded size and every two tiles are compared as a task's
     matrix. So even a huge bucket is many tasks, and only similar pairs become rows.
@@ -257,7 +263,7 @@ def pairs_in_tiles(members: DataFrame, texts: DataFrame, percent: int) -> DataFr
     ids = members.select("id").distinct()
     sets = written(
         texts.join(ids, "id", "left_semi").select("id", "text")
-        .mapInArrow(_short_hashes, "id long, shingles binary"),
+        .mapInArrow(_hash_sets, "id long, shingles binary"),
         "sets",
     )
     tiles = members.groupBy("bucket").agg(
@@ -275,7 +281,7 @@ def pairs_in_tiles(members: DataFrame, texts: DataFrame, percent: int) -> DataFr
         tiled.join(sets, "id").groupBy(
             "bucket", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high")
         )
-        .applyInPandas(_links_in_tile(percent), "a long, b long").distinct()
+        .applyInPandas(_links_in_tile(percent, spanning), "a long, b long").distinct()
     )
 
 
@@ -293,10 +299,10 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
     2. One-permutation signatures in 32 bands of 4: a pair of similarity 0.75 shares
        no band with a probability of 5e-6.
     3. Each bucket gives a star: its best connected document with each other one.
-       Links are confirmed on full sets. While buckets hold several groups and the
-       last round found links, each such bucket gives a star around its next best document.
-    4. What stars leave over, members of a bucket in different groups, is compared in tiles,
-       and what is similar confirmed. So no link is lost because neither document was a hub.
+       Links are confirmed on full sets. While buckets hold several groups and more than
+       1 % of a round's pairs are links, each such bucket gives a star around its next best document.
+    4. What stars leave over, members of a bucket in different groups, is compared in tiles
+       on full sets. So no group is torn because neither document was a hub.
 
     Columns: doc_id, n_shingles, component_id, kept (doc_id = component_id).
     """
@@ -330,7 +336,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
         .agg(F.min("text").alias("text")),
         "texts",
     )
-    links = components = used = tried = None
+    links = used = tried = None
     open_members = members.withColumn("component", F.col("id"))
     while True:
         hubs = written(hubs_of(open_members), "hubs")
@@ -339,9 +345,9 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         found = written(confirmed(pairs, texts, percent), "links")
-        if found.isEmpty():
-            break
         links = found if links is None else links.unionByName(found)
+        if found.count() * STAR_GAIN <= pairs.count():
+            break
         components = least_reachable(links)
         tried = pairs if tried is None else tried.unionByName(pairs)
         own_hubs = hubs.select("bucket", F.col("a").alias("id"))
@@ -355,19 +361,15 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
         open_members = written(
             labelled.join(split, "bucket").join(used, ["bucket", "id"], "left_anti"), "members"
         )
-    rest = written(pairs_in_tiles(open_members, texts, percent), "rest")
-    found = written(confirmed(rest, texts, percent), "links")
-    if not found.isEmpty():
-        components = least_reachable(found if links is None else links.unionByName(found))
-    return _grouped(sketches, classes, components)
+    rest = written(pairs_in_tiles(open_members, texts, percent, spanning=True), "rest")
+    return _grouped(sketches, classes, least_reachable(links.unionByName(rest)))
 
 
-def _grouped(sketches: DataFrame, classes: DataFrame, components: DataFrame | None) -> DataFrame:
+def _grouped(sketches: DataFrame, classes: DataFrame, components: DataFrame) -> DataFrame:
     same = [F.col(c) == F.col(f"_{c}") for c in ("set_a", "set_b", "n_shingles")]
     named = classes.select("id", *[F.col(c).alias(f"_{c}") for c in ("set_a", "set_b", "n_shingles")])
-    if components is not None:
-        named = named.join(components.withColumnRenamed("node", "id"), "id", "left")
-        named = named.withColumn("id", F.coalesce("component", "id")).drop("component")
+    named = named.join(components.withColumnRenamed("node", "id"), "id", "left")
+    named = named.withColumn("id", F.coalesce("component", "id")).drop("component")
     component = F.when(F.col("n_shingles") > 0, F.col("id")).otherwise(F.col("doc_id"))
     return sketches.join(named, same, "left").select(
         "doc_id", "n_shingles", component.alias("component_id"),
