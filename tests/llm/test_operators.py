@@ -122,6 +122,15 @@ def test_boilerplate_empties_a_document_but_copies_do_not(spark):
     assert gone == {100}
 
 
+def test_boilerplate_may_be_the_longest_line(spark):
+    notice = " ".join(f"notice{chr(97 + j)}" for j in range(26))
+    rows = [(i, f"{notice}\nshort {chr(97 + i)}", "h") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = quality_rules.quality_rules(docs, max_documents=5).collect()
+    assert {r.n_removed for r in found} == {26}
+    assert not any(r.kept for r in found)
+
+
 # --- 3 ---
 
 def test_warc_round_trip(spark, tmp_path):

@@ -86,7 +86,7 @@ def base_rules(docs: DataFrame, host: str) -> DataFrame:
 
 def lines_of(docs: DataFrame, host: str) -> DataFrame:
     """One row per line with a word: host, hash of the normalised line, its words, and
-    as ``page`` the hash of its document's longest line.
+    as ``page`` the hash of its document's whole normalised text.
 
     Normalised: lower case, digits as 0, no outer blanks.
     """
@@ -95,9 +95,6 @@ def lines_of(docs: DataFrame, host: str) -> DataFrame:
     lines = F.filter(trimmed, lambda line: line != "")
 
     def with_page(rows: Column) -> Column:
-        longest = F.array_max(
-            F.transform(rows, lambda line: F.struct(F.char_length(line), line.alias("line")))
-        )["line"]
         hashed = F.transform(
             rows,
             lambda line, place: F.struct(
@@ -105,7 +102,7 @@ def lines_of(docs: DataFrame, host: str) -> DataFrame:
                 F.size(words_of(line)).alias("words"),
             ),
         )
-        return F.struct(F.xxhash64(longest).alias("page"), hashed.alias("lines"))
+        return F.struct(F.xxhash64(F.concat_ws("\n", rows)).alias("page"), hashed.alias("lines"))
 
     found = docs.select(
         F.col("doc_id"), row_key().alias("row_key"), F.col(host).alias("host"),
@@ -119,8 +116,8 @@ def lines_of(docs: DataFrame, host: str) -> DataFrame:
 def common_lines(lines: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """Lines found in more than ``max_documents`` distinct documents of a host.
 
-    Documents are told apart by their longest line: copies and light edits of one
-    page count once, so a page doesn't make boilerplate of itself by being republished.
+    Documents are told apart by their whole normalised text: copies of one page count
+    once, so a page doesn't make boilerplate of itself by being republished.
     The count spreads a very common line over the documents that have it.
     """
     distinct = lines.select("host", "line", "page").distinct()
