@@ -12,12 +12,15 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from waybill.plans.core import core_tables
+from waybill.plans.incremental import append_chunks, refresh_marts
 from waybill.plans.jobs import build_marts
 from waybill.schemas import CORE, MARTS, ROW_ORDER
 from waybill.session import pin
 from waybill.sinks.tables import write_core
+from waybill.sinks.versions import Version, Versions
 from waybill.sources.chunks import read_chunks
 from waybill.sources.core_tables import read_core
 
@@ -74,16 +77,30 @@ JOIN {nation} n ON c.c_nationkey = n.n_nationkey
 JOIN {region} r ON n.n_regionkey = r.r_regionkey
 """
 
+# The same rows in files that cut through orders, so that loads share orders, items and drivers.
+_BY_ORDER, _BY_LINE = "l.l_orderkey % 4", "l.l_linenumber % 4"
+SPREAD_SQL = CHUNK_SQL.replace(_BY_ORDER, _BY_LINE)
+# One file with quantities and costs that aren't whole, as halves.
+REJECTED_SQL = SPREAD_SQL.replace(
+    "CAST(l.l_quantity AS INT) AS item_quantity",
+    "l.l_quantity + CASE WHEN l.l_orderkey % 50 = 7 THEN 0.5 ELSE 0 END AS item_quantity",
+).replace(
+    "THEN CAST(o.o_orderkey % 300 AS INT) END AS delivery_cost",
+    "THEN o.o_orderkey % 300 + CASE WHEN o.o_orderkey % 70 = 7 THEN 0.25 ELSE 0 END"
+    " END AS delivery_cost",
+)
+LOADS = (0, 1, 2, 3)
+OUT_OF_ORDER = (2, 0, 3, 1)
 
 _written: dict[tuple[str, str, str], str] = {}
 _writing = threading.RLock()
 
 
-def derived_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derived_chunk(spark: SparkSession, sf_dir: str, sql: str = CHUNK_SQL) -> DataFrame:
     """The chunk as a lazy frame over the given tables."""
     pin(spark)
     sources = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}
-    return spark.sql(CHUNK_SQL.format(**sources))
+    return spark.sql(sql.format(**sources))
 
 
 def written_chunks(spark: SparkSession, sf_dir: str) -> str:
@@ -130,6 +147,66 @@ def stored_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {m: spark.read.schema(s).parquet(f"{folder}/{m}") for m, s in MARTS.items()}
 
 
+def written_spread(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with chunk files that cut through orders."""
+    def write(folder: str) -> None:
+        derived_chunk(spark, sf_dir, SPREAD_SQL).write.partitionBy(ROW_ORDER[0]).parquet(folder)
+
+    return _once(spark, "spread", sf_dir, write)
+
+
+def written_fractions(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with chunk files in which some integers aren't whole."""
+    def write(folder: str) -> None:
+        rows = derived_chunk(spark, sf_dir, REJECTED_SQL)
+        doubles = {c: F.col(c).cast("double") for c in ("item_quantity", "delivery_cost")}
+        rows.withColumns(doubles).write.partitionBy(ROW_ORDER[0]).parquet(folder)
+
+    return _once(spark, "fractions", sf_dir, write)
+
+
+def lake(spark: SparkSession, sf_dir: str, order: tuple[int, ...] = LOADS) -> Version:
+    """Tables loaded file by file. The marts are refreshed twice: before and after the last load."""
+    spread = written_spread(spark, sf_dir)
+
+    def load(folder: str) -> None:
+        for number in order:
+            if number == order[-1]:
+                refresh_marts(spark, folder)
+            append_chunks(
+                spark, spread, folder, pattern=f"{ROW_ORDER[0]}=chunk_{number}",
+                row_order=ROW_ORDER, load=f"load {number}",
+            )
+        refresh_marts(spark, folder)
+
+    return Versions(spark, _once(spark, f"lake {order}", sf_dir, load)).current()
+
+
+def strict_lake(spark: SparkSession, sf_dir: str) -> Version:
+    """Tables loaded at once, with rejected values and orphans put aside."""
+    fractions = written_fractions(spark, sf_dir)
+
+    def load(folder: str) -> None:
+        append_chunks(
+            spark, fractions, folder, pattern=f"{ROW_ORDER[0]}=*", row_order=ROW_ORDER,
+            rejects=True, keep_orphans=False,
+        )
+
+    return Versions(spark, _once(spark, "strict lake", sf_dir, load)).current()
+
+
+def written_keys(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with order keys written by ranges, and one more file that repeats some of them."""
+    def write(folder: str) -> None:
+        keys = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("order_id"))
+        ranged = keys.repartitionByRange(8, "order_id").sortWithinPartitions("order_id")
+        ranged.write.parquet(folder)
+        again = keys.filter("order_id % 997 = 5 AND order_id < 20000")
+        again.coalesce(1).write.mode("append").parquet(folder)
+
+    return _once(spark, "keys", sf_dir, write)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that the driver and all executors share: below the checkpoint
     folder of the session, or else its warehouse."""

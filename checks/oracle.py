@@ -7,10 +7,12 @@ another side.
 
 from __future__ import annotations
 
-from checks.fixture import CHUNK_SQL, TABLES
+from checks.fixture import CHUNK_SQL, REJECTED_SQL, SPREAD_SQL, TABLES
 from waybill.functions.columns import SERVICE_ERRORS
 
-_CHUNK = CHUNK_SQL.format(**{t: t for t in TABLES})
+_CHUNK, _SPREAD, _HALVES = (
+    sql.format(**{t: t for t in TABLES}) for sql in (CHUNK_SQL, SPREAD_SQL, REJECTED_SQL)
+)
 
 
 def _phone(column: str) -> str:
@@ -343,4 +345,46 @@ FROM (SELECT store_id, {_DATE}, coalesce(sum(revenue_order), 0) AS revenue,
 }
 
 # The sinks must give back the mart as it is.
-ORACLE |= {name: ORACLE["mart_orders"] for name in ("mart_refresh", "mart_recreate")}
+ORACLE |= {
+    name: ORACLE["mart_orders"] for name in ("mart_refresh", "mart_recreate", "mart_versions")
+}
+
+# Files loaded one at a time must give what loading them together gives.
+ORACLE |= {
+    f"loaded_{name.removeprefix('core_')}": ORACLE[name].replace(_CHUNK, _SPREAD)
+    for name in ("core_users", "core_stores", "core_orders", "core_order_items",
+                 "core_order_drivers", "mart_orders", "mart_items")
+}
+ORACLE["buyer_rollups"] = _query(f"""
+SELECT {_CITY} AS city, CAST(date_trunc('month', created_at) AS DATE) AS month,
+ count(DISTINCT user_id) AS buyers_cnt
+FROM c_orders LEFT JOIN c_stores USING (store_id) GROUP BY ALL
+UNION ALL
+SELECT {_CITY} AS city, NULL, count(DISTINCT user_id)
+FROM c_orders LEFT JOIN c_stores USING (store_id) GROUP BY ALL""",
+    "c_orders", "c_stores").replace(_CHUNK, _SPREAD)
+
+# Rows with values that aren't whole are put aside, and lines of replaced items that nobody has.
+_WHOLE = """SELECT * REPLACE (CAST(item_quantity AS INT) AS item_quantity) FROM halves
+WHERE coalesce(item_quantity = floor(item_quantity), true)
+ AND coalesce(delivery_cost = floor(delivery_cost), true)"""
+ORACLE["rejected_values"] = f"""WITH halves AS ({_HALVES})
+SELECT chunk_file, chunk_row, 'item_quantity' AS column_name,
+ CAST(item_quantity AS DOUBLE) AS value FROM halves WHERE item_quantity <> floor(item_quantity)
+UNION ALL
+SELECT chunk_file, chunk_row, 'delivery_cost', CAST(delivery_cost AS DOUBLE)
+FROM halves WHERE delivery_cost <> floor(delivery_cost)"""
+
+
+def _strict_lines(known: str) -> str:
+    lines = _query(_SMALL_ITEMS.format("INTEGER"), "c_order_items").replace(_CHUNK, _WHOLE)
+    halves = lines.replace("WITH chunk AS", f"WITH halves AS ({_HALVES}),\nchunk AS", 1)
+    return f"{halves} WHERE {known}"
+
+
+_STRAY = "item_replaced_id NOT IN (SELECT item_id FROM c_order_items)"
+ORACLE["orphan_lines"] = _strict_lines(f"item_replaced_id IS NOT NULL AND {_STRAY}")
+ORACLE["lines_in_force"] = _strict_lines(f"item_replaced_id IS NULL OR NOT ({_STRAY})")
+ORACLE["audit_keys_by_range"] = """
+SELECT o_orderkey AS order_id, CAST(1 + count(*) AS BIGINT) AS copies FROM orders
+WHERE o_orderkey % 997 = 5 AND o_orderkey < 20000 GROUP BY o_orderkey"""

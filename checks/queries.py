@@ -22,11 +22,15 @@ from waybill.functions.columns import (
 )
 from waybill.operators import audits, dedup
 from waybill.operators.dedup import first_per_key
+from waybill.operators.key_ranges import repeated_keys
+from waybill.operators.member_states import members_in
 from waybill.operators.numbering import line_occurrence
 from waybill.plans import core as jobs
 from waybill.plans import marts
-from waybill.schemas import CHUNK, MARTS, ROW_ORDER
-from waybill.sinks.tables import ensure_mart, write_mart
+from waybill.plans.incremental import ORPHANS, REJECTED, buyers_of, core_of, marts_of
+from waybill.schemas import CHUNK, CORE, MARTS, ROW_ORDER
+from waybill.sinks.tables import conform, ensure_mart, write_mart
+from waybill.sinks.versions import Versions, refresh
 from waybill.sources.core_tables import register_core
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -213,7 +217,8 @@ def mart_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{f.name} {f.dataType.simpleString()}" for f in sorted(MARTS["mart_orders"], key=lambda f: f.name)
     )
     spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet")
-    for rows in (mart.limit(10), mart):
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in MARTS["mart_orders"]]
+    for rows in (spark.range(10).select(*nothing), mart):
         write_mart(rows, "mart_orders", table=table)
     return _double_amounts(spark.table(table).select(MARTS["mart_orders"].names))
 
@@ -233,6 +238,57 @@ FROM core_view_orders o JOIN core_view_order_items l ON l.order_id = o.order_id
 LEFT JOIN core_view_stores s ON s.store_id = o.store_id GROUP BY s.store_id, s.store_city""")
 
 
+def mart_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart refreshed in versions: the second refresh dies half-way, the third replaces the first."""
+    store = Versions(spark, fixture.shared_folder(spark))
+    mart = conform(marts.mart_orders(fixture.core(spark, sf_dir)), MARTS["mart_orders"])
+    first = refresh(store, {"mart_orders": spark.createDataFrame([], mart.schema)})
+    broken = mart.withColumn("city", F.raise_error(F.lit("out of order")).cast("string"))
+    try:
+        refresh(store, {"mart_orders": broken})
+    except Exception as error:
+        if "out of order" not in str(error):
+            raise
+    if store.current().number != first.number:
+        raise AssertionError("a refresh that died changed the version in force")
+    return _double_amounts(refresh(store, {"mart_orders": mart}).read("mart_orders"))
+
+
+# --- loads ---
+
+def _loaded(table: str, order: tuple[int, ...] = fixture.LOADS) -> Query:
+    """A core table after loading its files one at a time."""
+    return lambda spark, sf_dir: _plain_times(core_of(fixture.lake(spark, sf_dir, order))[table])
+
+
+def _loaded_mart(mart: str, order: tuple[int, ...] = fixture.LOADS) -> Query:
+    """A mart of which only the days of the last load were rebuilt."""
+    return lambda spark, sf_dir: _double_amounts(marts_of(fixture.lake(spark, sf_dir, order))[mart])
+
+
+def buyer_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buyers by city and month, and by city, from states of store-days."""
+    states = buyers_of(fixture.lake(spark, sf_dir))
+    month = F.date_trunc("month", "day").cast("date").alias("month")
+    monthly = members_in(states, ["city", month], "buyers_cnt")
+    return monthly.unionByName(
+        members_in(states, ["city"], "buyers_cnt"), allowMissingColumns=True
+    )
+
+
+def rejected_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixture.strict_lake(spark, sf_dir).read(REJECTED)
+    return rows.withColumn("value", F.col("value").cast("double"))
+
+
+def orphan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixture.strict_lake(spark, sf_dir).read(ORPHANS, CORE["order_items"])
+
+
+def lines_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return core_of(fixture.strict_lake(spark, sf_dir))["order_items"]
+
+
 # --- audits ---
 
 def audit_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,9 +296,17 @@ def audit_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """On tables as loaded, before their columns are narrowed, and on the stored marts."""
-    loaded = jobs.core_tables(fixture.chunk(spark, sf_dir))
-    return audits.audit_ranges({**loaded, **fixture.stored_marts(spark, sf_dir)})
+    """On tables as loaded, before their columns are narrowed, and on the stored marts. Limits
+    concern values, so lines are not numbered for them."""
+    chunk = fixture.chunk(spark, sf_dir)
+    loaded = {t: jobs.first_rows(chunk, t) for t in jobs.FIRST_ROWS}
+    lines = {"order_items": jobs.plain_lines(chunk)}
+    return audits.audit_ranges({**loaded, **lines, **fixture.stored_marts(spark, sf_dir)})
+
+
+def audit_keys_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated keys of a table written by ranges; only files whose ranges meet are compared."""
+    return repeated_keys(spark, fixture.written_keys(spark, sf_dir), "order_id", T.LongType())
 
 
 QUERIES: dict[str, Query] = {
@@ -282,8 +346,21 @@ QUERIES: dict[str, Query] = {
     "audit_keys": _on_core(audits.audit_keys),
     "audit_references": _on_core(audits.audit_references),
     "mart_refresh": mart_refresh,
+    "mart_versions": mart_versions,
+    "loaded_users": _loaded("users", fixture.OUT_OF_ORDER),
+    "loaded_stores": _loaded("stores", fixture.OUT_OF_ORDER),
+    "loaded_orders": _loaded("orders", fixture.OUT_OF_ORDER),
+    "loaded_order_items": _loaded("order_items"),
+    "loaded_order_drivers": _loaded("order_drivers"),
+    "loaded_mart_orders": _loaded_mart("mart_orders"),
+    "loaded_mart_items": _loaded_mart("mart_items", fixture.OUT_OF_ORDER),
+    "buyer_rollups": buyer_rollups,
+    "rejected_values": rejected_values,
+    "orphan_lines": orphan_lines,
+    "lines_in_force": lines_in_force,
     "mart_recreate": mart_recreate,
     "core_views": core_views,
+    "audit_keys_by_range": audit_keys_by_range,
     "audit_nulls": audit_nulls,
     "audit_ranges": audit_ranges,
 }

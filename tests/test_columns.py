@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,30 +72,37 @@ def test_to_int_fails_on_fractions_unless_told_otherwise(spark):
 @pytest.mark.parametrize(
     "above, below, rounded",
     [
-        (1005, 1000, 1.01),  # a tie that binary doubles would round down
-        (-1005, 1000, -1.01),
-        (1, 3, 0.33),
-        (2, 3, 0.67),
-        (0, 5, 0.0),
+        (1005, 1000, "1.01"),  # a tie that binary doubles would round down
+        (-1005, 1000, "-1.01"),
+        (1, 3, "0.33"),
+        (2, 3, "0.67"),
+        (0, 5, "0.00"),
         (5, 0, None),
-        (10**15 + 5, 10**3, 10**12 + 0.01),
-        (4999999, 10**9, 0.0),  # just below a tie
-        (5000000, 10**9, 0.01),
-        (-1, 3, -0.33),
+        (10**15 + 5, 10**3, "1000000000000.01"),
+        (4999999, 10**9, "0.00"),  # just below a tie
+        (5000000, 10**9, "0.01"),
+        (-1, 3, "-0.33"),
     ],
 )
 def test_ratio(spark, above, below, rounded):
     df = spark.createDataFrame([(above, below)], "a bigint, b bigint")
-    assert df.select(C.ratio(F.col("a"), F.col("b"))).first()[0] == rounded
+    found = df.select(C.ratio(F.col("a"), F.col("b"))).first()[0]
+    assert found == (None if rounded is None else Decimal(rounded))
 
 
 @pytest.mark.parametrize(
-    "above, below", [(10**16 - 1, 8), (10**16 + 4, 8), (-(10**18), 3), (10**25, 7)]
+    "above, below, exact",
+    [
+        (10**16 - 1, 8, "1249999999999999.88"),  # a tie: ....875
+        (10**16 + 4, 8, "1250000000000000.50"),
+        (-(10**18), 3, "-333333333333333333.33"),
+        (10**25, 7, "1428571428571428571428571.43"),
+    ],
 )
-def test_large_ratios_are_as_exact_as_a_double(spark, above, below):
+def test_large_ratios_are_exact(spark, above, below, exact):
     df = spark.createDataFrame([(str(above), below)], "a string, b bigint")
     found = df.select(C.ratio(F.col("a").cast("decimal(38, 0)"), F.col("b"))).first()[0]
-    assert found == pytest.approx(above / below, rel=4e-16)
+    assert found == Decimal(exact)
 
 
 def test_amounts_do_not_overflow_and_keep_the_discount_of_canceled_lines(spark):

@@ -61,6 +61,21 @@ def whole_number_text(value: Column, strict: bool = True) -> Column:
     return F.when(value.isNull() | (value == F.floor(value)), text).otherwise(F.raise_error(message))
 
 
+def unfit(value: Column, have: T.DataType, want: T.DataType) -> Column | None:
+    """Whether a strict cast of ``value`` fails: it has a fraction, or is too large for the type.
+    None if it can't fail. NaN is a missing value, which never does."""
+    given, wrong = value.isNotNull(), F.lit(False)
+    if isinstance(have, (T.FloatType, T.DoubleType)):
+        given = given & ~F.isnan(value)
+    if isinstance(have, (T.FloatType, T.DoubleType, T.DecimalType)):
+        wrong = F.floor(value) != value
+    elif have == want or not isinstance(have, T.IntegralType):
+        return None
+    if isinstance(want, T.IntegralType):
+        wrong = wrong | value.try_cast(want).isNull()
+    return given & wrong
+
+
 def order_city(delivery_city: Column, store_city: Column) -> Column:
     return F.coalesce(delivery_city, store_city, F.lit(NO_CITY))
 

@@ -23,6 +23,7 @@ def first_per_key(
     values: Sequence[str],
     order: Sequence[str] = ROW_ORDER,
     collapse: bool = False,
+    placed: bool = False,
 ) -> DataFrame:
     """Keep, per key, the values of its first row, even where they are null.
 
@@ -33,6 +34,8 @@ def first_per_key(
     (users, drivers, stores, items): equal rows of a file are first folded into
     one by a hash aggregate that keeps the smallest row number, and only what is
     left gets sorted. For keys with few rows each it would add a useless shuffle.
+
+    ``placed`` gives the position of the row, too.
     """
     *coarse, fine = order
     columns = [*keys, *values]
@@ -43,5 +46,5 @@ def first_per_key(
     return (
         rows.withColumn("_rank", F.row_number().over(ranked))
         .filter("_rank = 1")
-        .select(*columns)
+        .select(*columns, *(order if placed else ()))
     )

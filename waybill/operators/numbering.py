@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from waybill.schemas import ROW_ORDER
 
 _BUCKETS = 65_536
+# From so many rows a group on, the list of hot keys (rows / limit at most) is broadcast: at 10**13
+# rows it has 10**7. With smaller limits Spark chooses the join.
+_BROADCAST_FROM = 1_000_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
@@ -19,7 +22,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     Counting every key would shuffle about as many rows as there are lines. So hash
     buckets, 65,536 at most, are counted first, and keys only inside the buckets
     that are large enough to hold such a group. There are at most
-    rows / ``hot_rows`` such keys, so the list is safe to broadcast.
+    rows / ``hot_rows`` such keys.
     """
     bucket = F.pmod(F.xxhash64(*keys), F.lit(_BUCKETS)).cast("int").alias("_bucket")
     rows = df.select(*keys, bucket)
@@ -55,7 +58,8 @@ def line_occurrence(
     file, row = order
     hot, is_hot = _renamed(hot_keys(df, keys, hot_rows).withColumn("_hot", F.lit(True)), keys)
     block = F.floor(F.col(row) / slice_rows)
-    rows = df.join(F.broadcast(hot), is_hot, "left").select(
+    hot = F.broadcast(hot) if hot_rows >= _BROADCAST_FROM else hot
+    rows = df.join(hot, is_hot, "left").select(
         *df.columns,
         "_hot",
         F.when(F.col("_hot"), F.col(file)).alias("_file"),

@@ -13,52 +13,85 @@ from waybill.operators.dedup import drop_null_keys, first_per_key
 from waybill.operators.numbering import line_occurrence
 from waybill.schemas import CORE, ROW_ORDER
 
+LINE_KEYS = ["order_id", "item_id"]
 MEASURES = ("item_quantity", "item_price", "item_canceled_quantity", "item_discount")
 
 
+# Key of each table of first rows, and the chunk columns that it keeps of them.
+FIRST_ROWS = {
+    "users": ("user_id", ("user_phone",)),
+    "drivers": ("driver_id", ("driver_phone",)),
+    "stores": ("store_id", ("store_address",)),
+    "items": ("item_id", ("item_title", "item_category")),
+    "orders": ("order_id", tuple(
+        c for c in CORE["orders"].names if c not in ("order_id", "delivery_city")
+    )),
+}
+
+
+def first_rows(chunk: DataFrame, table: str, placed: bool = False) -> DataFrame:
+    """Rows of a core table that has the first row per key; with ``placed``, and its position."""
+    key, values = FIRST_ROWS[table]
+    # An order has few rows, nearly all in one place: no collapse.
+    first = first_per_key(
+        drop_null_keys(chunk, [key]), [key], values, collapse=table != "orders", placed=placed
+    )
+    store_address, address_text = F.col("store_address"), F.col("address_text")
+    derived = {
+        "users": lambda: {"user_phone": phone_col(F.col("user_phone"))},
+        "drivers": lambda: {"driver_phone": phone_col(F.col("driver_phone"))},
+        "stores": lambda: {
+            "store_name": comma_part(store_address, 1), "store_city": comma_part(store_address, 2)
+        },
+        "items": dict,
+        "orders": lambda: {"delivery_city": comma_part(address_text, 1)},
+    }
+    columns = [*CORE[table].names, *(ROW_ORDER if placed else ())]
+    return first.withColumns(derived[table]()).select(columns)
+
+
 def users(chunk: DataFrame) -> DataFrame:
-    first = _first(chunk, "user_id", "user_phone")
-    return first.withColumn("user_phone", phone_col(F.col("user_phone")))
+    return first_rows(chunk, "users")
 
 
 def drivers(chunk: DataFrame) -> DataFrame:
-    first = _first(chunk, "driver_id", "driver_phone")
-    return first.withColumn("driver_phone", phone_col(F.col("driver_phone")))
+    return first_rows(chunk, "drivers")
 
 
 def stores(chunk: DataFrame) -> DataFrame:
-    address = F.col("store_address")
-    return _first(chunk, "store_id", "store_address").select(
-        "store_id",
-        comma_part(address, 1).alias("store_name"),
-        comma_part(address, 2).alias("store_city"),
-        address,
-    )
+    return first_rows(chunk, "stores")
 
 
 def items(chunk: DataFrame) -> DataFrame:
-    return _first(chunk, "item_id", "item_title", "item_category")
+    return first_rows(chunk, "items")
 
 
 def orders(chunk: DataFrame) -> DataFrame:
-    columns = CORE["orders"].names
-    stored = [c for c in columns if c not in ("order_id", "delivery_city")]
-    rows = drop_null_keys(chunk, ["order_id"])
-    # An order has few rows, nearly all in one place: no collapse.
-    first = first_per_key(rows, ["order_id"], stored)
-    return first.withColumn("delivery_city", comma_part(F.col("address_text"), 1)).select(columns)
+    return first_rows(chunk, "orders")
 
 
-def order_items(chunk: DataFrame, **numbering: int) -> DataFrame:
-    keys = ["order_id", "item_id"]
-    lines = (
-        drop_null_keys(chunk, keys)
-        .select(*keys, *MEASURES, "item_replaced_id", *ROW_ORDER)
+def plain_lines(chunk: DataFrame) -> DataFrame:
+    """Lines of known orders and items, with measures instead of nulls."""
+    return (
+        drop_null_keys(chunk, LINE_KEYS)
+        .select(*LINE_KEYS, *MEASURES, "item_replaced_id", *ROW_ORDER)
         .na.fill(0, subset=list(MEASURES))
     )
+
+
+def order_lines(chunk: DataFrame, **numbering: int) -> DataFrame:
+    """Lines numbered within their order and item."""
     ties = [*MEASURES, "item_replaced_id"]
-    numbered = line_occurrence(lines, keys, ties=ties, **numbering)
-    return numbered.withColumn("id", F.concat_ws("_", *keys, "occurrence")).select(
+    return line_occurrence(plain_lines(chunk), LINE_KEYS, ties=ties, **numbering)
+
+
+def order_items(chunk: DataFrame, **numbering: int) -> DataFrame:
+    return identified(order_lines(chunk, **numbering))
+
+
+def identified(lines: DataFrame) -> DataFrame:
+    """Numbered lines with their text key."""
+    return lines.withColumn("id", F.concat_ws("_", *LINE_KEYS, "occurrence")).select(
         CORE["order_items"].names
     )
 
@@ -85,6 +118,3 @@ def core_tables(chunk: DataFrame) -> dict[str, DataFrame]:
         "order_drivers": order_drivers(chunk),
     }
 
-
-def _first(chunk: DataFrame, key: str, *values: str) -> DataFrame:
-    return first_per_key(drop_null_keys(chunk, [key]), [key], values, collapse=True)
