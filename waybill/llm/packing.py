@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,61 +25,89 @@ _CACHED_WORDS = 400_000
 _UNSAFE = ("<|", "Σ", "\x1c", "\x1d", "\x1e", "\x1f")
 
 
+# How the tokenizer file parts a lower-case word without white space, for ASCII.
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level files: printable bytes of Latin-1 for
+    themselves, the others in order for code points from 256."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {**{b: b for b in plain}, **{b: 256 + i for i, b in enumerate(others)}}
+
+
 class WordTokenizer:
-    """Token ids of a text from a lower-casing BPE file with word ends, as 16-bit bytes.
+    """Token ids of a text from a lower-casing byte-level BPE file with word ends, as 16-bit bytes.
 
     This tokenizer never looks across white space, so words are tokenised once each, in
-    one call for all new ones, and kept in a bounded table. A text is tokenised whole
+    one call for all new ones, and kept in a bounded table: when its newer half is full, the older half
+    is dropped, and words still in use come back from it. A text is tokenised whole
     where that could differ: not in NFC, with strings of special tokens, capital sigma,
     or separators that are white space for one library only.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.model = Tokenizer.from_file(path)
         vocabulary = self.model.get_vocab()
         if max(vocabulary.values()) >= 1 << 16:
             raise ValueError("ids must fit 16 bits")
+        # The same merges for pieces that are normalised and parted already.
+        self.merges = Tokenizer.from_file(path)
+        self.merges.normalizer = normalizers.Sequence([])
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.letters = _byte_letters()
         self.ends = np.zeros(1 << 16, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.marks = {mark: self.whole(mark) for mark in ".,;:!?"}
 
     def whole(self, text: str) -> bytes:
         ids = self.model.encode(text, add_special_tokens=False).ids
         return np.array(ids, np.uint16).tobytes()
 
+    def pieces(self, spelled: list[str]) -> dict[str, bytes]:
+        """Ids of pieces that the tokenizer doesn't part any further, in one call."""
+        as_bytes = " ".join(spelled).encode().decode("latin-1").translate(
+            {**self.letters, 0x20: 0x20}
+        )
+        (told,) = self.merges.encode_batch_fast([as_bytes], add_special_tokens=False)
+        ids = np.array(told.ids, np.uint16)
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(spelled):
+            return {piece: self.whole(piece) for piece in spelled}
+        data, out, start = ids.tobytes(), {}, 0
+        for piece, cut in zip(spelled, (2 * cuts).tolist()):
+            out[piece] = data[start:cut]
+            start = cut
+        return out
+
     def learn(self, words: Iterable[str]) -> None:
-        """Add new words to the table: letters in one call, others one by one."""
-        letters, marked = set(), []
+        """Add new words to the table: all pieces they consist of in one call, the rest one by one."""
+        needed, parted, marked = set(), [], []
         for word in words:
             if word.isalpha():
-                letters.add(word)
+                needed.add(word)
+            elif word.isascii():
+                own = _PIECES.findall(word)
+                needed.update(own)
+                parted.append((word, own))
             elif word[-1] in self.marks and word[:-1].isalpha():
                 marked.append(word)
-                if word[:-1] not in self.known:
-                    letters.add(word[:-1])
+                needed.add(word[:-1])
             else:
                 self.known[word] = self.whole(word)
-        spelled = sorted(letters)
-        ids = np.array(
-            self.model.encode(" ".join(spelled), add_special_tokens=False).ids, np.uint16
-        )
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) == len(spelled):
-            data, start = ids.tobytes(), 0
-            for word, cut in zip(spelled, (2 * cuts).tolist()):
-                self.known[word] = data[start:cut]
-                start = cut
-        else:
-            self.known.update((word, self.whole(word)) for word in spelled)
-        for word in marked:
-            self.known[word] = self.known[word[:-1]] + self.marks[word[-1]]
+        ids = self.pieces(sorted(needed)) if needed else {}
+        self.known.update(ids)
+        self.known.update((word, b"".join([ids[p] for p in own])) for word, own in parted)
+        self.known.update((word, ids[word[:-1]] + self.marks[word[-1]]) for word in marked)
 
     def many(self, texts: list[str]) -> Iterator[bytes]:
         if len(self.known) > _CACHED_WORDS:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         split: list[list[str] | None] = []
         for text in texts:
             lower = text.lower()
@@ -86,7 +116,13 @@ class WordTokenizer:
                 or unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", lower)
             )
             split.append(lower.split() if safe else None)
-        fresh = {w for words in split if words for w in words if w not in self.known}
+        fresh = []
+        for word in set().union(*filter(None, split)):
+            if word not in self.known:
+                if word in self.older:
+                    self.known[word] = self.older[word]
+                else:
+                    fresh.append(word)
         if fresh:
             self.learn(fresh)
         for text, words in zip(texts, split):
@@ -96,6 +132,12 @@ class WordTokenizer:
                 yield b"".join(map(self.known.__getitem__, words))
 
 
+@cache
+def _tokenizer(path: str) -> WordTokenizer:
+    """One tokenizer, and one table of words, per worker process, whatever the number of tasks."""
+    return WordTokenizer(path)
+
+
 class OpenBins:
     """Best fit among a fixed number of open bins; bit s of ``spaces`` is set if some
     open bin has s places free. Rows of a bin are given out when it closes."""
@@ -157,7 +199,7 @@ def _tokenise_and_pack(path: str | None, length: int, most: int):
         if path is None:
             import public_tokenizers
 
-        model = WordTokenizer(path or public_tokenizers.path("word_bpe_49k.json"))
+        model = _tokenizer(path or public_tokenizers.path("word_bpe_49k.json"))
         bins = OpenBins(length, most, TaskContext.get().partitionId() << 32)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
