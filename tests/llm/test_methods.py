@@ -1,15 +1,18 @@
 """The methods inside the operators."""
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from waybill.llm import packing
 from waybill.llm.best_fit_decreasing import pack, pack_evenly
 from waybill.llm.cube_sampling import flight
 from waybill.llm.hashing import blocks
-from waybill.llm.minhash import BINS, shingle_sets, signatures
+from waybill.llm.minhash import BINS, near_duplicates, one_of_each, shingle_sets, signatures
 from waybill.llm.packing import OpenBins, WordTokenizer
 from waybill.llm.pii import KINDS, Tagger, labelled_examples, tagged_spans, trained, training_windows
 
@@ -153,3 +156,47 @@ def test_regions_longer_than_a_window_are_decoded_as_one():
     assert len([s for s in spans if s[0] == "phone"]) >= 8
     codes, tags = training_windows([(text, [("phone", 5, 22)])])
     assert codes.shape == tags.shape and KINDS[(tags.max() - 1) // 2] == "phone"
+
+
+# --- words that polynomials modulo 2**64 can't tell apart, rows without their own id ---
+
+def thue_morse(letters):
+    word = "a"
+    while len(word) < letters:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+def test_long_words_of_the_same_make_have_different_hashes():
+    for letters in (64, 128, 1024, 4096):
+        one = thue_morse(letters)
+        (block,) = blocks(pa.array([one, one.translate(str.maketrans("ab", "ba"))]))
+        assert block.hash[0] != block.hash[1]
+    one, two = (thue_morse(32).translate(str.maketrans(*w)).replace("y", "y ").replace("x", "x ")
+                for w in (("ab", "xy"), ("ab", "yx")))
+    (block,) = blocks(pa.array([one, two]))
+    found, _ = block.windows(32)
+    assert found[0] != found[1]
+
+
+def test_one_of_each_drops_copies_alone(spark):
+    text = "a b c d e f"
+    rows = [(None, text), (3, text), (None, "nobody else has this text here"), (1, "x y"),
+            (1, "one more text of number one"), (0, "x y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in one_of_each(docs, near_duplicates(docs, keyed=True)).collect()]
+    assert sorted(kept, key=str) == sorted([rows[1], rows[2], rows[4], rows[5]], key=str)
+    clashing = docs.withColumn("row_key", F.lit(1))
+    same = one_of_each(clashing, near_duplicates(clashing, keyed=True))
+    assert same.columns == ["doc_id", "text", "row_key"] and same.count() == 4
+
+
+def test_tokenizer_forgets_the_older_half_of_its_words(monkeypatch):
+    monkeypatch.setattr(packing, "_CACHED_WORDS", 5)
+    model = packing.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["it's 3.5% of the café's menu!", "Über naïve ÇA, x==y 12ab ab12 'tis", "it's the menu"] * 3
+    texts += ["don't we'll I'm x's--'s 'S", "日本語 mixed日本 ٣ v٣ a_b-c"]
+    for text in texts:
+        (told,) = model.many([text])
+        assert told == model.whole(text)
+    assert len(model.known) < 30

@@ -2,8 +2,10 @@
 
 A word is a run of bytes other than ASCII white space; UTF-8 keeps those bytes to
 themselves, so bytes and code points give the same words. Hashes are 64 bits wide:
-polynomials modulo 2**64 over random byte values, then mixed. Among N different
-windows about N * N / 2**65 pairs share a hash.
+polynomials modulo 2**64 over random byte values, then mixed. Such polynomials fail on long
+texts of a certain make (a Thue-Morse word of 1024 letters and its complement are equal), so words
+of more than 64 bytes are hashed by xxh3; windows have fewer words than that. Among N
+different windows about N * N / 2**65 pairs share a hash.
 """
 
 from __future__ import annotations
@@ -13,8 +15,11 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 BLOCK_BYTES = 2_000_000
+# Words of more bytes than this are hashed one by one.
+_LONG_WORD = 64
 _BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95  # odd, so both have inverses
 
 
@@ -84,7 +89,11 @@ class Block:
         self.start = np.searchsorted(self.begin, at)
         self.count = np.diff(self.start)
         raw = _polynomials(_VALUES[data], _BASE, self.begin, self.end)
-        self.hash = mixed(raw + (self.end - self.begin).astype(np.uint64))
+        size = self.end - self.begin
+        self.hash = mixed(raw + size.astype(np.uint64))
+        for word in np.flatnonzero(size > _LONG_WORD):
+            spelled = data[self.begin[word]: self.end[word]].tobytes()
+            self.hash[word] = xxhash.xxh3_64_intdigest(spelled)
         self.data, self.at = data, at
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:

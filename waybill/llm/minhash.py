@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.frames import written
+from waybill.llm.frames import row_key, without, written
 from waybill.llm.hashing import Block, blocks, mixed
 
 SHINGLE = 5
@@ -95,10 +95,11 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.arange(0, BANDS * block.size + 1, BANDS, dtype=np.int32), keys.ravel()
             )
             yield pa.record_batch(
-                [batch.column(0).slice(block.first, block.size), pa.array(size.astype(np.int64)),
+                [*[batch.column(i).slice(block.first, block.size) for i in (0, 2)],
+                 pa.array(size.astype(np.int64)),
                  *[pa.array((s[bounds[1:]] - s[bounds[:-1]]).view(np.int64)) for s in (one, two)],
                  lists],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+                names=["doc_id", "row_key", "n_shingles", "set_a", "set_b", "bands"],
             )
 
 
@@ -285,7 +286,9 @@ def pairs_in_tiles(
     )
 
 
-def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, percent: int = SIMILARITY_PERCENT, keyed: bool = False
+) -> DataFrame:
     """Group the rows of ``docs`` (doc_id, text) whose word shingle sets are similar.
 
     A-Z is lower-cased. A set holds the distinct 5-word shingles, of a shorter text the
@@ -304,12 +307,14 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
     4. What stars leave over, members of a bucket in different groups, is compared in tiles
        on full sets. So no group is torn because neither document was a hub.
 
-    Columns: doc_id, n_shingles, component_id, kept (doc_id = component_id).
+    Columns: doc_id, n_shingles, component_id, kept (doc_id = component_id); if ``keyed``, row_key
+    (of id and text, see ``frames``).
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = written(
-        plain.mapInArrow(
-            _sketch, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
+        plain.withColumn("row_key", row_key()).mapInArrow(
+            _sketch, "doc_id long, row_key long, n_shingles long, set_a long, set_b long, "
+            "bands array<long>",
         ),
         "sketches",
     )
@@ -362,7 +367,8 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
             labelled.join(split, "bucket").join(used, ["bucket", "id"], "left_anti"), "members"
         )
     rest = written(pairs_in_tiles(open_members, texts, percent, spanning=True), "rest")
-    return _grouped(sketches, classes, least_reachable(links.unionByName(rest)))
+    groups = _grouped(sketches, classes, least_reachable(links.unionByName(rest)))
+    return groups if keyed else groups.drop("row_key")
 
 
 def _grouped(sketches: DataFrame, classes: DataFrame, components: DataFrame) -> DataFrame:
@@ -373,12 +379,15 @@ def _grouped(sketches: DataFrame, classes: DataFrame, components: DataFrame) ->
     component = F.when(F.col("n_shingles") > 0, F.col("id")).otherwise(F.col("doc_id"))
     return sketches.join(named, same, "left").select(
         "doc_id", "n_shingles", component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"), "row_key",
     )
 
 
 def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one document a group."""
-    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    gone = written(gone, "gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns: one document of each of the keyed
+    ``groups``.
+
+    Rows go by id and text, so of rows without an id, or with one that other texts have,
+    too, only those go whose own text is a copy.
+    """
+    return without(docs, groups.filter(~F.col("kept")))
