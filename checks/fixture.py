@@ -172,10 +172,10 @@ def lake(spark: SparkSession, sf_dir: str, order: tuple[int, ...] = LOADS) -> Ve
     def load(folder: str) -> None:
         for number in order:
             if number == order[-1]:
-                refresh_marts(spark, folder)
+                refresh_marts(spark, folder, period="year")
             append_chunks(
                 spark, spread, folder, pattern=f"{ROW_ORDER[0]}=chunk_{number}",
-                row_order=ROW_ORDER, load=f"load {number}",
+                row_order=ROW_ORDER, load=f"load {number}", buckets=4,
             )
         refresh_marts(spark, folder)
 
@@ -189,7 +189,7 @@ def strict_lake(spark: SparkSession, sf_dir: str) -> Version:
     def load(folder: str) -> None:
         append_chunks(
             spark, fractions, folder, pattern=f"{ROW_ORDER[0]}=*", row_order=ROW_ORDER,
-            rejects=True, keep_orphans=False,
+            rejects=True, keep_orphans=False, buckets=4,
         )
 
     return Versions(spark, _once(spark, "strict lake", sf_dir, load)).current()
