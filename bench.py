@@ -4,7 +4,8 @@
 
 Each result is computed in full and thrown away (``noop`` sink). Queries read the
 chunk files, core tables or marts written beforehand. Writing core tables and marts
-is ``core_load`` and ``build_marts`` and counts into ``value``; deriving the chunk files, the input of all
+is ``core_load`` and ``build_marts`` and counts into ``value``, as do the ``*_loads`` of the same rows
+file by file with two refreshes of the marts; deriving the chunk files, the input of all
 jobs, from the given tables is ``chunk_preparation`` and does not.
 ``literal_mart_*`` run the marts as written down in SQL (rows multiplied per
 driver, one distinct count per metric) on the same tables, as a yardstick; they
@@ -45,6 +46,15 @@ def main(names: list[str]) -> None:
         "core_load": seconds(lambda: fixture.written_core(spark, sf_dir)),
         "build_marts": seconds(lambda: fixture.written_marts(spark, sf_dir)),
     }
+    if not names:
+        fixture.written_spread(spark, sf_dir), fixture.written_fractions(spark, sf_dir)
+        timings |= {
+            "four_loads": seconds(lambda: fixture.lake(spark, sf_dir)),
+            "four_loads_out_of_order": seconds(
+                lambda: fixture.lake(spark, sf_dir, fixture.OUT_OF_ORDER)
+            ),
+            "strict_load": seconds(lambda: fixture.strict_lake(spark, sf_dir)),
+        }
     for name in names or QUERIES:
         timings[name] = seconds(lambda: drain(QUERIES[name](spark, sf_dir)))
 

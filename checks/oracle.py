@@ -349,12 +349,21 @@ ORACLE |= {
     name: ORACLE["mart_orders"] for name in ("mart_refresh", "mart_recreate", "mart_versions")
 }
 
-# Files loaded one at a time must give what loading them together gives.
-ORACLE |= {
-    f"loaded_{name.removeprefix('core_')}": ORACLE[name].replace(_CHUNK, _SPREAD)
-    for name in ("core_users", "core_stores", "core_orders", "core_order_items",
-                 "core_order_drivers", "mart_orders", "mart_items")
+# Files loaded one at a time must give what loading them together gives, in the stored types.
+_STORED = {
+    "users": ORACLE["core_users"],
+    "stores": ORACLE["core_stores"],
+    "orders": _query("SELECT * REPLACE (CAST(order_discount AS SMALLINT) AS order_discount)"
+                     " FROM c_orders", "c_orders"),
+    "order_items": _query(_SMALL_ITEMS.format("SMALLINT"), "c_order_items"),
+    "order_drivers": ORACLE["core_order_drivers"],
+    "mart_orders": ORACLE["mart_orders"],
+    "mart_items": ORACLE["mart_items"].replace(
+        "SELECT * FROM m_items",
+        "SELECT * REPLACE (CAST(item_turnover AS DOUBLE) AS item_turnover) FROM m_items",
+    ),
 }
+ORACLE |= {f"loaded_{table}": sql.replace(_CHUNK, _SPREAD) for table, sql in _STORED.items()}
 ORACLE["buyer_rollups"] = _query(f"""
 SELECT {_CITY} AS city, CAST(date_trunc('month', created_at) AS DATE) AS month,
  count(DISTINCT user_id) AS buyers_cnt
@@ -377,7 +386,7 @@ FROM halves WHERE delivery_cost <> floor(delivery_cost)"""
 
 
 def _strict_lines(known: str) -> str:
-    lines = _query(_SMALL_ITEMS.format("INTEGER"), "c_order_items").replace(_CHUNK, _WHOLE)
+    lines = _query(_SMALL_ITEMS.format("SMALLINT"), "c_order_items").replace(_CHUNK, _WHOLE)
     halves = lines.replace("WITH chunk AS", f"WITH halves AS ({_HALVES}),\nchunk AS", 1)
     return f"{halves} WHERE {known}"
 

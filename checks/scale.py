@@ -4,7 +4,8 @@
 
 With ``skew`` a third of all rows belong to one order, a third of the orders to
 one store, city and day, and a third of the lines to one item. The marts are
-compared, row for row, with their literal SQL on the same core tables.
+compared, row for row, with their literal SQL on the same core tables. The same rows are then
+loaded as four files, one at a time, and the tables and marts compared with those of one load.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ from pyspark.sql import functions as F
 from checks import fixture
 from checks.literal import LITERAL
 from waybill.plans import jobs, marts
+from waybill.plans.incremental import append_chunks, core_of, marts_of, refresh_marts
 from waybill.schemas import CHUNK, CORE, ROW_ORDER
+from waybill.sinks.versions import Versions
 from waybill.sources.core_tables import read_core, register_core
 
 _SHIFT = 10_000_000
@@ -64,6 +67,20 @@ def main(spark: SparkSession, count: int, skew: bool, sf_dir: str) -> None:
     core = read_core(spark, path=f"{folder}/core", tables=CORE)
     print({t: df.count() for t, df in core.items()})
     register_core(core, "bench_")
+    source.write.partitionBy(ROW_ORDER[0]).parquet(f"{folder}/spread")
+    lake = f"{folder}/lake"
+    for number in fixture.LOADS:
+        timed(f"load file {number}", lambda: append_chunks(
+            spark, f"{folder}/spread", lake, pattern=f"{ROW_ORDER[0]}=chunk_{number}", **reading
+        ))
+        if number >= fixture.LOADS[-2]:
+            timed("refresh marts", lambda: refresh_marts(spark, lake, period="year"))
+    now = Versions(spark, lake).current()
+    for table, df in core_of(now).items():
+        print(f"loaded {table}: {df.exceptAll(core[table]).count()} of {df.count()} rows differ")
+    for name, df in marts_of(now).items():
+        whole = spark.read.schema(df.schema).parquet(f"{folder}/marts/{name}")
+        print(f"loaded {name}: {df.exceptAll(whole).count()} of {df.count()} rows differ")
     for name, sql in LITERAL.items():
         ours = getattr(marts, name)(core)
         literal = spark.sql(sql).select(ours.columns)

@@ -107,6 +107,11 @@ def test_jdbc_writer_options(spark, monkeypatch):
                     "truncate": "true"}
     sinks.jdbc_writer(spark.range(1), {"url": "jdbc:x", "batchsize": "10"}, "m", truncate=False)
     assert seen["batchsize"] == "10" and seen["truncate"] == "false"
+    modes = []
+    monkeypatch.setattr(writer, "mode", lambda self, mode: modes.append(mode) or self)
+    for append in (False, True):
+        sinks.jdbc_writer(spark.range(1), {"url": "jdbc:x"}, "m", append=append)
+    assert modes == ["overwrite", "append"]
 
 
 def test_core_is_read_over_jdbc_in_parts(spark, monkeypatch):

@@ -104,10 +104,14 @@ def write_mart(
 
 
 def jdbc_writer(
-    df: DataFrame, jdbc: Mapping[str, str], table: str, truncate: bool = True
+    df: DataFrame, jdbc: Mapping[str, str], table: str, truncate: bool = True,
+    append: bool = False,
 ) -> DataFrameWriter:
-    """Batched replacement of a database table, emptied rather than dropped by default."""
+    """Batched replacement of a database table, emptied rather than dropped by default; with
+    ``append``, batches are added to its rows. A database can't tell a repeated append: load into
+    versioned tables (``plans.incremental``) where that matters."""
     options = {
         "batchsize": str(BATCH_ROWS), **jdbc, "dbtable": table, "truncate": str(truncate).lower()
     }
-    return df.write.format("jdbc").mode("overwrite").options(**options)
+    mode = "append" if append else "overwrite"
+    return df.write.format("jdbc").mode(mode).options(**options)
