@@ -2,7 +2,9 @@
 
 import hashlib
 import itertools
+import math
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -414,14 +416,16 @@ def test_license_scan(docs, plain):
         flat = [i for at in places.values() for i in at]
         base = {label for label, at in places.items() if at}
         labels, score = set(base), 1.0 if base else 0.0
-        for line in (text or "").split("\n"):
-            block = set(word.findall(line.translate(ASCII_LOWER)))
-            for label, sentence in TEMPLATES.items():
-                wanted = set(sentence.split())
-                share = len(block & wanted) / len(wanted)
+        for label, sentence in TEMPLATES:
+            wanted, n = set(sentence.split()), len(sentence.split())
+            width, stride = math.ceil(n * 1.5), max(1, n // 4)
+            for start in range(0, len(own) + stride, stride):
+                block = set(own[start: start + width])
                 if 100 * len(block & wanted) >= THRESHOLD_PERCENT * len(wanted):
                     labels.add(label)
-                    score = max(score, share)
+                    score = max(score, len(block & wanted) / len(wanted))
+                if start + width >= len(own):
+                    break
         expected.setdefault((
             doc, len(own), len(flat), min(flat, default=None), max(flat, default=None),
             ",".join(sorted(base)), ",".join(sorted(labels))), []).append(score)
@@ -434,5 +438,27 @@ def test_license_scan(docs, plain):
     assert any("apache-2.0" in row[6] for row in found)
 
 
+def test_license_passages_wrapped_edited_and_absent(spark, plan_of):
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this"
+           " software and associated documentation files (the 'Software')")
+    bsd = ("Redistribution and use in source and binary forms, with or without modification, are"
+           " permitted provided that the following conditions are met")
+    filler = " ".join(f"word{i}" for i in range(500))
+    rows = [
+        (1, textwrap.fill(mit, 40)), (2, textwrap.fill(bsd, 30)),
+        (3, f"{filler}\n{textwrap.fill(bsd, 25)}\n{filler}"),
+        (4, f"{filler} {mit.replace('charge', 'cost')} {filler}"),
+        (5, "released a film under the bridge with the mit team"),
+        (6, f"released {filler} under {filler} the {filler} mit {filler} license"),
+        (7, "# Released\n# under the\n# MIT License"), (8, "license " * 3000), (9, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = license_scan(docs)
+    assert {r.doc_id: r.labels for r in found.collect()} == {
+        1: "mit-permission", 2: "bsd", 3: "bsd", 4: "mit-permission", 5: "", 6: "", 7: "mit",
+        8: "", 9: ""}
+    assert "hashpartitioning(token" not in plan_of(found)  # texts stay where they are
+
+
 def test_joined_order():
     assert joined([("phone", 1, 2), ("email", 9, 10), ("email", 3, 4)]) == "email:3:4,email:9:10,phone:1:2"
