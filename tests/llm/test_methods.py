@@ -14,7 +14,11 @@ from waybill.llm.cube_sampling import flight
 from waybill.llm.hashing import blocks
 from waybill.llm.minhash import BINS, near_duplicates, one_of_each, shingle_sets, signatures
 from waybill.llm.packing import OpenBins, WordTokenizer
-from waybill.llm.pii import KINDS, Tagger, labelled_examples, tagged_spans, trained, training_windows
+from waybill.llm import pii
+from waybill.llm.pii import (
+    KINDS, Tagger, everywhere, fitted, labelled_examples, personal_data, plausible, tagged_spans,
+    trained, training_windows,
+)
 
 
 @settings(max_examples=60, deadline=None)
@@ -158,6 +162,62 @@ def test_regions_longer_than_a_window_are_decoded_as_one():
     assert codes.shape == tags.shape and KINDS[(tags.max() - 1) // 2] == "phone"
 
 
+def test_recall_of_every_kind_on_held_out_spans():
+    examples = labelled_examples(600, seed=5)
+    found = tagged_spans(trained(), [text for text, _ in examples])
+    wanted, hit = dict.fromkeys(KINDS, 0), dict.fromkeys(KINDS, 0)
+    for (text, spans), marked in zip(examples, found):
+        marked = {fitted(k, text, a, b) for k, a, b in marked}
+        for span in spans:
+            wanted[span[0]] += 1
+            hit[span[0]] += span in marked
+    print(hit, wanted)
+    assert all(hit[kind] > 0.9 * wanted[kind] for kind in KINDS)
+
+
+@pytest.mark.parametrize("mail", [
+    "anna.kl (at) hostname (dot) example (dot) com", "anna.kl (at) longhostname (dot) com",
+    "verylonglocalpartofanaddress (at) host (dot) com",
+    "verylonglocalpartofanaddress (at) verylonghostname (dot) example (dot) com",
+])
+@pytest.mark.parametrize("around", [("", ""), ("see ", " for more"), ("word " * 400, "\nword" * 400)])
+def test_long_written_out_mail_addresses(spark, mail, around):
+    text = mail.join(around)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = personal_data(docs).collect()
+    at = len(around[0])
+    assert row.spans == f"email:{at}:{at + len(mail)}" and row.n_email == 0
+
+
+def accepted(texts, marked):
+    return [
+        {s for s in (fitted(k, t, a, b) for k, a, b in spans) if plausible(s[0], t[s[1]: s[2]])}
+        for t, spans in zip(texts, marked)
+    ]
+
+
+def test_regions_lose_no_span_of_the_whole_text(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    texts = [r.text or "" for r in rows.filter("text RLIKE '[0-9@]'").orderBy("doc_id").limit(60).collect()]
+    texts += [f"{'word ' * 50}{text}{' word' * 50}" for text, _ in labelled_examples(40, seed=8)]
+    model = trained()
+    near, whole = (accepted(texts, tagged_spans(model, texts, cut)) for cut in (pii.regions, everywhere))
+    lost = sum(len(b - a) for a, b in zip(near, whole))
+    assert sum(map(len, whole)) > 20 and lost <= 0.02 * sum(map(len, whole))
+
+
+def test_long_regions_are_decoded_in_pieces(monkeypatch):
+    text = "call " + " or ".join(["+1 (377) 555-0271", "10.20.30.40"] * 40) + " now"
+    (whole,) = tagged_spans(trained(), [text])
+    monkeypatch.setattr(pii, "PIECE", 400)
+    monkeypatch.setattr(pii, "OVERLAP", 100)
+    monkeypatch.setattr(pii, "AT_ONCE", 700)
+    parts = list(pii.pieces(5, 1500))
+    assert parts[0][:1] == (5,) and parts[-1][1] == 1500 and all(e - s <= 400 for s, e, _, _ in parts)
+    assert [p[3] for p in parts[:-1]] == [p[2] for p in parts[1:]]
+    assert tagged_spans(trained(), [text]) == [whole] and len(whole) > 60
+
+
 # --- words that polynomials modulo 2**64 can't tell apart, rows without their own id ---
 
 def thue_morse(letters):

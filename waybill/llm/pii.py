@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
-WINDOW, STRIDE, MARGIN = 48, 24, 20
+WINDOW, STRIDE, MARGIN = 96, 48, 48
+# Long regions are decoded in pieces of PIECE characters that share OVERLAP at each end, and so
+# many characters are scored at once.
+PIECE, OVERLAP, AT_ONCE = 2048, 256, 200_000
 MIN_CONFIDENCE = 0.8
 
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -22,7 +25,12 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TRIGGER = re.compile(r"[0-9@]|[(\[](?:at|AT)[)\]]")
+_TRIGGER = re.compile(r"[0-9@]|[(\[](?:at|AT|dot|DOT)[)\]]")
+_MAIL = re.compile(
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+ ?(?:@|[(\[]at[)\]]) ?[A-Za-z0-9-]+"
+    r"(?: ?(?:\.(?=[A-Za-z0-9-])|[(\[]dot[)\]]) ?[A-Za-z0-9-]+)+"
+)
+_LABELS = re.compile(r"(?: ?\. ?[A-Za-z0-9-]+)*")
 _DIGIT = re.compile("[0-9]")
 
 Span = tuple[str, int, int]
@@ -125,10 +133,11 @@ def labelled_examples(count: int, seed: int) -> list[tuple[str, list[Span]]]:
 
     def email() -> str:
         plain = "abcdefghijklmnopqrstuvwxyz"
-        name = "".join(pick(plain) for _ in range(int(rng.integers(2, 8))))
+        name = "".join(pick(plain) for _ in range(int(rng.integers(2, pick([8, 8, 28])))))
         name += pick(["", ".", "_"]) + pick([digits(2), "".join(pick(plain) for _ in range(3))])
-        host = "".join(pick(plain) for _ in range(int(rng.integers(3, 8)))) + pick(["", digits(1)])
-        at, dot = pick([("@", "."), ("@", "."), (" (at) ", "."), (" [at] ", "."), (" (at) ", " (dot) ")])
+        host = "".join(pick(plain) for _ in range(int(rng.integers(3, pick([8, 8, 20]))))) + pick(["", digits(1)])
+        at, dot = pick([("@", "."), ("@", "."), (" (at) ", "."), (" [at] ", "."), (" (at) ", " (dot) "),
+                        (" (at) ", " (dot) "), (" [at] ", " [dot] ")])
         return name + at + host + dot + pick(["example.", ""]).replace(".", dot) + pick(["com", "org", "net", "de"])
 
     def phone() -> str:
@@ -156,12 +165,14 @@ def labelled_examples(count: int, seed: int) -> list[tuple[str, list[Span]]]:
     }
     examples = []
     for _ in range(count):
-        text, spans = " ".join(letters(2, 8) for _ in range(int(rng.integers(1, 4)))) + " ", []
-        kind = pick([*KINDS, None, None])
-        made = makers[kind]() if kind else other()
-        if kind:
-            spans.append((kind, len(text), len(text) + len(made)))
-        text += made + pick([" ", ". ", ", ", "\n"]) + " ".join(letters(2, 8) for _ in range(3))
+        text, spans = "".join(letters(2, 8) + " " for _ in range(int(rng.integers(0, 4)))), []
+        for _ in range(pick([1, 1, 2, 3])):
+            kind = pick([*KINDS, None, None])
+            made = makers[kind]() if kind else other()
+            if kind:
+                spans.append((kind, len(text), len(text) + len(made)))
+            text += made + pick([" ", ". ", ", ", "\n", " or "])
+        text += " ".join(letters(2, 8) for _ in range(int(rng.integers(0, 4))))
         examples.append((text, spans))
     return examples
 
@@ -223,8 +234,8 @@ class Tagger:
         both = np.concatenate([forward, backward], axis=2)
         return both @ self.w["out"] + self.w["out_bias"], (x, both, one, two)
 
-    def marginals(self, scores: np.ndarray):
-        """CRF forward-backward: tag and move probabilities, and the log partition."""
+    def _sweeps(self, scores: np.ndarray):
+        """Log sums of all ways to and from each tag, and of all ways."""
         moves, steps = self.w["moves"], len(scores)
         ahead, behind = np.empty_like(scores), np.zeros_like(scores)
         ahead[0] = scores[0]
@@ -232,10 +243,19 @@ class Tagger:
             ahead[t] = scores[t] + _log_sum(ahead[t - 1][:, :, None] + moves, 1)
         for t in range(steps - 2, -1, -1):
             behind[t] = _log_sum(moves + (scores[t + 1] + behind[t + 1])[:, None, :], 2)
-        total = _log_sum(ahead[-1], 1)
+        return ahead, behind, _log_sum(ahead[-1], 1)
+
+    def chances(self, scores: np.ndarray) -> np.ndarray:
+        """Probability of each tag (time, batch, tag) given the whole sequence."""
+        ahead, behind, total = self._sweeps(scores)
+        return np.exp(ahead + behind - total[None, :, None])
+
+    def marginals(self, scores: np.ndarray):
+        """CRF forward-backward: tag probabilities, and the sums of move probabilities."""
+        ahead, behind, total = self._sweeps(scores)
         tags = np.exp(ahead + behind - total[None, :, None])
         joint = np.exp(
-            ahead[:-1, :, :, None] + moves + (scores[1:] + behind[1:])[:, :, None, :]
+            ahead[:-1, :, :, None] + self.w["moves"] + (scores[1:] + behind[1:])[:, :, None, :]
             - total[None, :, None, None]
         )
         return tags, joint.sum(axis=(0, 1))
@@ -330,76 +350,144 @@ def trained(examples: int = 3000, steps: int = 300, batch: int = 48, seed: int =
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Parts of a text around everything with a digit or an at sign; the rest has nothing
-    that the model could mark."""
+    """Parts of a text around everything with a digit or a sign or word for "at" or "dot".
+
+    A part ends between words, not within one, and takes in the labels that dots add to it. So
+    every span that ``plausible`` accepts lies whole in a part: it has a digit or an "at", and
+    nothing of it is further from such a place than one word, a dotted label or a "dot".
+    """
     found: list[tuple[int, int]] = []
     for m in _TRIGGER.finditer(text):
+        if found and m.end() + MARGIN <= found[-1][1]:
+            continue
         start, end = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
-        if found and start <= found[-1][1]:
+        least = found[-1][1] if found else 0
+        while start > least and not text[start - 1].isspace():
+            start -= 1
+        end = max(end, least)
+        while end < len(text) and not text[end].isspace():
+            end += 1
+        end = _LABELS.match(text, end).end()
+        if found and start <= least:
             found[-1] = found[-1][0], end
         else:
             found.append((start, end))
     return found
 
 
-def tagged_spans(model: Tagger, texts: Sequence[str]) -> list[list[Span]]:
-    """Spans that the model marks in each text.
-
-    Regions are cut into overlapping windows and scored in batches. A region's scores are
-    the mean over its windows, weighted towards their middles, and one decoding of the whole
-    region reconciles them. A span counts if its tags have a
-    probability of at least MIN_CONFIDENCE on the mean.
-    """
-    places, cut = [], []
-    for i, text in enumerate(texts):
-        for start, end in regions(text):
-            symbols = encode(text[start:end])
-            first = len(cut)
-            for at in range(0, max(1, len(symbols) - WINDOW + STRIDE), STRIDE):
-                piece = symbols[at: at + WINDOW]
-                cut.append(np.pad(piece, (0, WINDOW - len(piece))))
-            places.append((i, start, end, first, len(cut)))
-    spans: list[list[Span]] = [[] for _ in texts]
-    if not cut:
-        return spans
+def everywhere(text: str) -> list[tuple[int, int]]:
+    """The whole text as one region."""
+    return [(0, len(text))] if text else []
+
+
+def pieces(start: int, end: int) -> Iterator[tuple[int, int, int, int]]:
+    """Overlapping pieces of a region, each with the part of which it tells the spans: those that
+    begin there. Neighbours share OVERLAP characters on either side of a border, so
+    any span up to that length is whole in the piece that tells it."""
+    core = PIECE - 2 * OVERLAP
+    if end - start <= PIECE:
+        yield start, end, start, end
+        return
+    for low in range(start, end, core):
+        high = min(end, low + core)
+        yield max(start, low - OVERLAP), min(end, high + OVERLAP), low, high
+
+
+def _piece_spans(model: Tagger, mean: np.ndarray) -> Iterator[Span]:
+    """Spans on the best path through a piece's scores (time, tag). One without a begin
+    starts where its kind does."""
+    tags = model.decode(mean)
+    if not tags.any():
+        return
+    sure = model.chances(mean[:, None, :])[np.arange(len(tags)), 0, tags]
+    at = 0
+    while at < len(tags):
+        kind = (tags[at] - 1) // 2
+        stop = at + 1
+        if tags[at]:
+            while stop < len(tags) and tags[stop] == 2 * kind + 2:
+                stop += 1
+            if sure[at:stop].mean() >= MIN_CONFIDENCE:
+                yield KINDS[kind], at, stop
+        at = stop
+
+
+def _mean_scores(model: Tagger, parts: Sequence[str]) -> Iterator[np.ndarray]:
+    """Scores (time, tag) of each part: the mean over its windows, weighted to their middles."""
+    cut, firsts = [], [0]
+    for part in parts:
+        symbols = encode(part)
+        for at in range(0, max(1, len(symbols) - WINDOW + STRIDE), STRIDE):
+            window = symbols[at: at + WINDOW]
+            cut.append(np.pad(window, (0, WINDOW - len(window))))
+        firsts.append(len(cut))
     scores = np.concatenate(
         [model.scores(np.array(cut[k: k + 512]))[0] for k in range(0, len(cut), 512)], axis=1
     )
     weight = (np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1]) + 1.0)[:, None]
-    for i, start, end, first, last in places:
-        length = end - start
-        total, weights = np.zeros((length, TAGS)), np.zeros((length, 1))
+    for part, first, last in zip(parts, firsts, firsts[1:]):
+        total, weights = np.zeros((len(part), TAGS)), np.zeros((len(part), 1))
         for k in range(first, last):
             at = (k - first) * STRIDE
-            n = min(WINDOW, length - at)
+            n = min(WINDOW, len(part) - at)
             total[at: at + n] += (scores[:, k] * weight)[:n]
             weights[at: at + n] += weight[:n]
-        mean = total / weights
-        tags = model.decode(mean)
-        if not tags.any():
-            continue
-        # Probabilities of the tags given the whole region.
-        chance, _ = model.marginals(mean[:, None, :])
-        sure = chance[np.arange(length), 0, tags]
-        at = 0
-        while at < length:
-            kind = (tags[at] - 1) // 2
-            stop = at + 1
-            if tags[at] and tags[at] % 2:
-                while stop < length and tags[stop] == 2 * kind + 2:
-                    stop += 1
-                if sure[at:stop].mean() >= MIN_CONFIDENCE:
-                    spans[i].append((KINDS[kind], start + at, start + stop))
-            at = stop
+        yield total / weights
+
+
+def tagged_spans(model: Tagger, texts: Sequence[str], cut=regions) -> list[list[Span]]:
+    """Spans that the model marks in each text.
+
+    Regions (``cut``) are read in overlapping windows and scored in batches. A region's scores are
+    the mean over its windows, and one decoding of the region, or of its pieces if it is
+    long, reconciles them. A span counts if its tags have a
+    probability of at least MIN_CONFIDENCE on the mean. Memory doesn't grow with the texts.
+    """
+    spans: list[list[Span]] = [[] for _ in texts]
+    waiting: list[tuple[int, int, int, int, int]] = []
+
+    def tell() -> None:
+        means = _mean_scores(model, [texts[i][start:end] for i, start, end, _, _ in waiting])
+        for (i, start, _, low, high), mean in zip(waiting, means):
+            for kind, begin, stop in _piece_spans(model, mean):
+                if low <= start + begin < high:
+                    spans[i].append((kind, start + begin, start + stop))
+        waiting.clear()
+
+    size = 0
+    for i, text in enumerate(texts):
+        for region in cut(text):
+            for piece in pieces(*region):
+                waiting.append((i, *piece))
+                size += piece[1] - piece[0]
+                if size >= AT_ONCE:
+                    tell()
+                    size = 0
+    if waiting:
+        tell()
     return spans
 
 
+def fitted(kind: str, text: str, start: int, end: int) -> Span:
+    """A marked span at the borders of what it names: one that has part of a mail address, or a
+    word too many, is put to the address that it overlaps, within OVERLAP characters of it."""
+    if kind != "email":
+        return kind, start, end
+    low, high = max(0, start - OVERLAP), min(len(text), end + OVERLAP)
+    while low and not text[low - 1].isspace():
+        low -= 1
+    while high < len(text) and not text[high].isspace():
+        high += 1
+    for m in _MAIL.finditer(text, low, high):
+        if m.start() < end and start < m.end():
+            return kind, *m.span()
+    return kind, start, end
+
+
 def plausible(kind: str, text: str) -> bool:
     """Rules that a marked span must meet besides."""
     if kind == "email":
-        return bool(re.fullmatch(
-            r"[A-Za-z0-9._%+-]+ ?(@|[(\[]at[)\]]) ?[A-Za-z0-9-]+( ?(\.|[(\[]dot[)\]]) ?[A-Za-z0-9-]+)+", text
-        ))
+        return bool(_MAIL.fullmatch(text))
     if kind == "ip":
         return bool(re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", text)) and valid(kind, text)
     return bool(re.fullmatch(r"[+(]?[0-9][0-9 ()./-]*[0-9]", text)) and valid(kind, text)
@@ -428,8 +516,9 @@ def _find(model: Tagger):
                         counts[kind][i] += 1
                     digests[i] = hashlib.sha256(joined(base).encode()).hexdigest()
                     ends = sorted((s, e) for _, s, e in base)
+                    near = {fitted(k, texts[i], s, e) for k, s, e in more}
                     free = [
-                        (k, s, e) for k, s, e in more
+                        (k, s, e) for k, s, e in near
                         if plausible(k, texts[i][s:e]) and not any(a < e and s < b for a, b in ends)
                     ]
                     everything[i] = joined([*base, *free])
