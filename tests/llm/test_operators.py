@@ -77,6 +77,25 @@ def test_index_is_joined_in_place(spark, plan_of):
     assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
 
 
+def test_index_runs_are_read_sorted_and_made_one(spark, plan_of):
+    index = DigestIndex(spark, "index_runs", 2, max_runs=3)
+    for k in range(2):
+        rows = [(100 * k + i, f"text {i + 40 * k}") for i in range(60)]
+        exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"), index, f"b{k}")
+    assert len(index.runs()) == 3
+    digests = spark.range(50).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
+    for join in index.unseen(digests, "x"), index.lookup(digests, "x"):
+        plan = plan_of(join)
+        assert plan.count("SortMergeJoin") == 3 and plan.count("Sort [") == 1
+        assert plan.count("Exchange hashpartitioning") == 1
+    rows = [(500 + i, f"text {i}") for i in range(120)]
+    found = exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"), index, "b2").collect()
+    assert {r.doc_id - 500 for r in found if r.kept} == set(range(100, 120))
+    assert {r.keep_id for r in found if r.seen} == {*range(60), *range(120, 160)}
+    assert len(index.runs()) == 1 and spark.table("index_runs").count() == 120
+    assert plan_of(index.unseen(digests, "x")).count("Sort [") == 1
+
+
 # --- 2 ---
 
 def longest(lines):
