@@ -98,10 +98,6 @@ def test_index_runs_are_read_sorted_and_made_one(spark, plan_of):
 
 # --- 2 ---
 
-def longest(lines):
-    return max(lines, key=lambda line: (len(line), line.encode()))
-
-
 def test_quality_rules(docs, plain):
     limit = 2
     pages, per_doc = defaultdict(set), []
@@ -109,7 +105,7 @@ def test_quality_rules(docs, plain):
         lines = [line.strip(" \t\n\x0b\x0c\r") for line in re.sub("[1-9]", "0", (text or "").lower()).split("\n")]
         lines = [line for line in lines if line]
         for line in lines:
-            pages[source, line].add(longest(lines))
+            pages[source, line].add("\n".join(lines))
         per_doc.append(lines)
     expected = Counter()
     for (doc, text, source), lines in zip(plain, per_doc):
@@ -131,6 +127,27 @@ def test_quality_rules(docs, plain):
     assert multiset(found.collect()) == expected
 
 
+def test_common_lines_are_removed(docs, plain, none):
+    limit, pages = 2, defaultdict(set)
+
+    def normal(line):
+        return re.sub("[1-9]", "0", line.lower()).strip(" \t\n\x0b\x0c\r")
+
+    for _, text, source in plain:
+        lines = [line for line in map(normal, (text or "").split("\n")) if line]
+        for line in lines:
+            pages[source, line].add("\n".join(lines))
+    expected = Counter()
+    for doc, text, source in plain:
+        left = [x for x in (text or "").split("\n") if len(pages[source, normal(x)]) <= limit]
+        expected[doc, None if text is None else "\n".join(left), source] += 1
+    found = quality_rules.without_common_lines(docs, max_documents=limit)
+    assert found.columns == docs.columns
+    assert multiset(found.select("doc_id", "text", "source").collect()) == expected
+    assert expected != Counter(plain)
+    assert quality_rules.without_common_lines(none).collect() == []
+
+
 def test_boilerplate_empties_a_document_but_copies_do_not(spark):
     menu = "home news sport weather travel money culture food music health science jobs"
     rows = [(i, f"{menu}\nstory {' '.join(f'x{i}y{j}' for j in range(40))}", "h") for i in range(9)]

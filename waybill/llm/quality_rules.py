@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.frames import BLANKS, let, row_key, text_of, without, words_of, written
+from waybill.llm.frames import (
+    BLANKS, let, new_name, row_key, text_of, without, words_of, written,
+)
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -172,3 +174,48 @@ def quality_rules(
 def quality_survivors(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
     return without(docs, decisions.filter(~F.col("kept")))
+
+
+def without_common_lines(
+    docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS
+) -> DataFrame:
+    """``docs`` (doc_id, text, host and any other columns) without the lines of their texts that
+    are common at their host; all other lines, blank ones too, stay as they are, in order.
+
+    Texts without such a line are untouched, null ones too; a text of nothing else becomes empty.
+    Rows equal in id, text and host are treated alike. Only the places of common lines are
+    gathered, at most as many a document as it has lines.
+    """
+    lines = lines_of(docs, host)
+    common = written(common_lines(lines, max_documents), "lines").select(
+        F.col("host").alias("_host"), F.col("line").alias("_line")
+    )
+    matched = lines.join(
+        common, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host"))
+    )
+    key, gone, at = (new_name(docs, stem) for stem in ("_key", "_gone", "_at"))
+    places = matched.groupBy("doc_id", "row_key", "host").agg(F.collect_set("place").alias(gone)).select(
+        F.col("doc_id").alias(f"{at}_id"), F.col("row_key").alias(f"{at}_key"),
+        F.col("host").alias(f"{at}_host"), gone,
+    )
+    same = (
+        (F.col(key) == F.col(f"{at}_key"))
+        & F.col("doc_id").eqNullSafe(F.col(f"{at}_id"))
+        & F.col(host).eqNullSafe(F.col(f"{at}_host"))
+    )
+    worded = F.filter(
+        F.transform(
+            F.split("text", "\n"),
+            lambda line, i: F.when(F.btrim(line, F.lit(BLANKS)) != "", i),
+        ),
+        lambda i: i.isNotNull(),
+    )  # places of lines with a word, as ``lines_of`` numbers them
+
+    def rest(split: Column) -> Column:
+        removed = let(worded, lambda w: F.transform(F.col(gone), lambda n: F.get(w, n)))
+        left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), removed)
+        return F.array_join(F.transform(left, lambda i: F.get(split, i)), "\n")
+
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(let(F.split("text", "\n"), rest))
+    joined = docs.withColumn(key, row_key()).join(places, same, "left")
+    return joined.withColumn("text", text).select(*docs.columns)
