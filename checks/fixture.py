@@ -18,10 +18,10 @@ from waybill.plans.core import core_tables
 from waybill.plans.incremental import append_chunks, refresh_marts
 from waybill.plans.jobs import build_marts
 from waybill.schemas import CORE, MARTS, ROW_ORDER
-from waybill.session import pin
+from waybill.session import fit, pin
 from waybill.sinks.tables import write_core
 from waybill.sinks.versions import Version, Versions
-from waybill.sources.chunks import read_chunks
+from waybill.sources.chunks import chunk_files, read_chunks
 from waybill.sources.core_tables import read_core
 
 TABLES = ("lineitem", "orders", "customer", "part", "nation", "region")
@@ -77,6 +77,16 @@ JOIN {nation} n ON c.c_nationkey = n.n_nationkey
 JOIN {region} r ON n.n_regionkey = r.r_regionkey
 """
 
+# How Spark joins the same sources: the narrow ones first, then lines with orders, so that no row is
+# shuffled once it has all its columns, and lines of an order are written together.
+_JOINS = CHUNK_SQL[CHUNK_SQL.index("FROM {lineitem}"):]
+_SPARK_JOINS = """
+FROM ({lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey)
+JOIN ({orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey
+ JOIN {nation} n ON c.c_nationkey = n.n_nationkey
+ JOIN {region} r ON n.n_regionkey = r.r_regionkey) ON l.l_orderkey = o.o_orderkey
+"""
+
 # The same rows in files that cut through orders, so that loads share orders, items and drivers.
 _BY_ORDER, _BY_LINE = "l.l_orderkey % 4", "l.l_linenumber % 4"
 SPREAD_SQL = CHUNK_SQL.replace(_BY_ORDER, _BY_LINE)
@@ -99,8 +109,10 @@ _writing = threading.RLock()
 def derived_chunk(spark: SparkSession, sf_dir: str, sql: str = CHUNK_SQL) -> DataFrame:
     """The chunk as a lazy frame over the given tables."""
     pin(spark)
-    sources = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}
-    return spark.sql(sql.format(**sources))
+    paths = {t: f"{sf_dir}/{t}.parquet" for t in TABLES}
+    fit(spark, chunk_files(spark, list(paths.values())).agg(F.sum("bytes")).first()[0])
+    sources = {t: f"parquet.`{path}`" for t, path in paths.items()}
+    return spark.sql(sql.replace(_JOINS, _SPARK_JOINS).format(**sources))
 
 
 def written_chunks(spark: SparkSession, sf_dir: str) -> str:

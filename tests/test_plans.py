@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checks import fixture
 from checks.queries import QUERIES
 from waybill.plans import marts
+from waybill.session import PARTITION_BYTES, fit, partitions
 
 SF = "/root/testdata/sf0.001"
 
@@ -95,3 +96,24 @@ def test_a_hot_store_is_split(spark):
     spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert total == 60_000
     assert "SortMergeJoin(skew=true)" in final
+
+
+def test_shuffles_begin_with_partitions_by_the_size_of_the_input(spark, tmp_path):
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", "4")
+    fit(own, 40 * PARTITION_BYTES)
+    assert partitions(own) == 40
+    fit(own, PARTITION_BYTES)
+    assert partitions(own) == 40
+    own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1b")
+    own.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1b")
+    groups = own.range(100_000).groupBy((F.col("id") % 5000).alias("g")).count()
+    assert groups.rdd.getNumPartitions() == 40
+
+
+def test_chunk_rows_are_not_shuffled_once_they_are_whole(spark, plan_of):
+    own = spark.newSession()
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = plan_of(fixture.derived_chunk(own, SF))
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert "l_orderkey" in joins[0]

@@ -16,8 +16,20 @@ PINNED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Partitions that Spark joins up again, after a shuffle, stay small enough to be sorted in memory.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    # A few files open at once instead of a sort of whole rows by the folder they go to.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
+    # Stored tables are most of what a load writes.
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
+# Parquet bytes of the input for each partition a shuffle begins with: some 150,000 chunk rows,
+# whatever the input's size. Spark joins up partitions that turn out small.
+PARTITION_BYTES = 4 << 20
+_MOST_PARTITIONS = 20_000
+_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
 def pin(spark: SparkSession) -> SparkSession:
     """Apply the settings above to a running session and return it."""
@@ -26,6 +38,20 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def partitions(spark: SparkSession) -> int:
+    """Partitions that shuffles begin with."""
+    default = spark.conf.get("spark.sql.shuffle.partitions")
+    return int(spark.conf.get(_PARTITIONS, None) or default)
+
+
+def fit(spark: SparkSession, size: int) -> None:
+    """Let shuffles begin with as many partitions as ``size`` bytes of input need, so that what a
+    task holds doesn't grow with the input. Never with fewer than before."""
+    wanted = min(_MOST_PARTITIONS, -(-size // PARTITION_BYTES))
+    if wanted > partitions(spark):
+        spark.conf.set(_PARTITIONS, str(wanted))
+
+
 def local_session(cpus: int = 8, **conf: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

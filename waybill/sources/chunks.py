@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from waybill.functions.columns import unfit, to_int, whole_number_text
 from waybill.schemas import CHUNK, ROW_ORDER
-from waybill.session import pin
+from waybill.session import fit, pin
 
 PATTERN = "chunk_*.parquet"
 # Column of staged rows that lists what their file has and the contract can't take.
@@ -78,8 +78,10 @@ def _groups(
 ) -> list[tuple[T.StructType, list[str] | None]]:
     """With which types to read which files; None stands for all of them."""
     told = chunk_files(spark, places).agg(
-        F.count("*"), F.sum(F.xxhash64("path", "modified", "bytes").cast("decimal(38, 0)"))
+        F.count("*"), F.sum(F.xxhash64("path", "modified", "bytes").cast("decimal(38, 0)")),
+        F.sum("bytes").alias("bytes"),
     ).first()
+    fit(spark, told.bytes or 0)
     key = spark.sparkContext.applicationId, str(places), tuple(told)
     if key in _known:
         return _known[key]
