@@ -4,11 +4,13 @@ import contextlib
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from checks import fixture
 from checks.queries import QUERIES
 from waybill.plans import marts
 from waybill.session import PARTITION_BYTES, fit, partitions
+from waybill.sinks.versions import Versions
 
 SF = "/root/testdata/sf0.001"
 
@@ -117,3 +119,32 @@ def test_chunk_rows_are_not_shuffled_once_they_are_whole(spark, plan_of):
     plan = plan_of(fixture.derived_chunk(own, SF))
     joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
     assert "l_orderkey" in joins[0]
+
+
+def test_lines_go_to_their_item_once(spark, core, plan_of):
+    """After the rows of orders and items have met their item, nothing moves them again."""
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = plan_of(marts.mart_items(core))
+    known = plan[plan.index("Union"):plan.rindex("LeftAnti")]
+    moved = [line for line in known.splitlines() if "Exchange hashpartitioning(item_id" in line]
+    assert moved and all("day" not in line and "city" not in line for line in moved)
+
+
+def test_the_load_alone_goes_to_the_buckets(spark, tmp_path):
+    """Rows that come from a shuffle by the key are not shuffled again to be stored by it."""
+    store = Versions(spark, str(tmp_path))
+    change = store.change()
+    first = spark.range(100).groupBy("id").agg(F.count("*").alias("n"))
+    seen = []
+    repartition = DataFrame.repartition
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(first), "repartition", lambda *a: seen.append(a) or repartition(*a))
+        change.add("t", first, "id", partitions(spark), placed=True)
+        assert not seen
+        change.add("t", first, "id", partitions(spark) + 1, placed=True)
+        assert len(seen) == 1
+    parts = change.parts["t"]
+    assert spark.read.parquet(f"{tmp_path}/data/t/{parts[0].folder}").count() == 100
+    change.parts["t"] = parts[:1]
+    plan = change.bucketed("t").groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and change.bucketed("t").count() == 100
