@@ -148,3 +148,9 @@ def test_the_load_alone_goes_to_the_buckets(spark, tmp_path):
     change.parts["t"] = parts[:1]
     plan = change.bucketed("t").groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and change.bucketed("t").count() == 100
+
+
+def test_a_task_sends_one_row_per_key_of_first_rows(spark, plan_of):
+    for name in ("core_users", "core_drivers", "core_items"):
+        plan = plan_of(QUERIES[name](spark, SF))
+        assert "Partial" in plan and plan.count("Exchange hashpartitioning") == 1
