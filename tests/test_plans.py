@@ -154,3 +154,9 @@ def test_a_task_sends_one_row_per_key_of_first_rows(spark, plan_of):
     for name in ("core_users", "core_drivers", "core_items"):
         plan = plan_of(QUERIES[name](spark, SF))
         assert "Partial" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_hot_keys_without_a_bound_are_not_broadcast(spark, plan_of):
+    plan = plan_of(QUERIES["line_occurrence_sliced"](spark, SF))
+    broadcast = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert broadcast and all("BroadcastHashJoin [_bucket" in line for line in broadcast)

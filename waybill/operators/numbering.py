@@ -12,7 +12,8 @@ from waybill.schemas import ROW_ORDER
 
 _BUCKETS = 65_536
 # From so many rows a group on, the list of hot keys (rows / limit at most) is broadcast: at 10**13
-# rows it has 10**7. With smaller limits Spark chooses the join.
+# rows it has 10**7. With smaller limits it is joined by sort-merge: it may have a key for every row,
+# and Spark's guess of its size, from compressed files, would let it be broadcast.
 _BROADCAST_FROM = 1_000_000
 
 
@@ -58,7 +59,8 @@ def line_occurrence(
     file, row = order
     hot, is_hot = _renamed(hot_keys(df, keys, hot_rows).withColumn("_hot", F.lit(True)), keys)
     block = F.floor(F.col(row) / slice_rows)
-    hot = F.broadcast(hot) if hot_rows >= _BROADCAST_FROM else hot
+    few = hot_rows >= _BROADCAST_FROM
+    hot = F.broadcast(hot) if few else hot.hint("merge")
     rows = df.join(hot, is_hot, "left").select(
         *df.columns,
         "_hot",
@@ -78,7 +80,7 @@ def line_occurrence(
         .filter("_shift > 0")
         .drop("_rows")
     )
-    shifts, same_key = _renamed(shifts, keys)
+    shifts, same_key = _renamed(shifts if few else shifts.hint("merge"), keys)
     shifts = shifts.withColumnsRenamed({"_file": "_of_file", "_block": "_of_block"})
     # Ordinary rows have a null slice and so never match.
     same_slice = (F.col("_file") == F.col("_of_file")) & (F.col("_block") == F.col("_of_block"))
