@@ -160,3 +160,12 @@ def test_hot_keys_without_a_bound_are_not_broadcast(spark, plan_of):
     plan = plan_of(QUERIES["line_occurrence_sliced"](spark, SF))
     broadcast = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
     assert broadcast and all("BroadcastHashJoin [_bucket" in line for line in broadcast)
+
+
+def test_mart_orders_shuffles_drivers_once(spark, core):
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        mart = marts.mart_orders(core)
+        mart.collect()
+        final = mart._jdf.queryExecution().executedPlan().toString().split("== Initial")[0]
+    own = [line for line in final.splitlines() if "REPARTITION_BY_COL" in line]
+    assert sorted("ReusedExchange" in line for line in own) == [False, True]
