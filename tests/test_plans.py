@@ -169,3 +169,7 @@ def test_mart_orders_shuffles_drivers_once(spark, core):
         final = mart._jdf.queryExecution().executedPlan().toString().split("== Initial")[0]
     own = [line for line in final.splitlines() if "REPARTITION_BY_COL" in line]
     assert sorted("ReusedExchange" in line for line in own) == [False, True]
+
+
+def test_tasks_fold_rows_of_small_pieces_of_files(spark):
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"

@@ -18,6 +18,8 @@ PINNED = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Partitions that Spark joins up again, after a shuffle, stay small enough to be sorted in memory.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    # So do pieces of files: a task that folds rows before a shuffle may hold a row per key of its piece.
+    "spark.sql.files.maxPartitionBytes": "16m",
     # A few files open at once instead of a sort of whole rows by the folder they go to.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
     # Stored tables are most of what a load writes.
