@@ -143,11 +143,11 @@ def exact_dedup(docs: DataFrame, index: DigestIndex, batch: str) -> DataFrame:
 def survivors(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. Of rows equal in id and
     text, which are decided alike, one stays."""
-    kept = without(docs, decisions.filter(~F.col("kept")))
+    gone = decisions.filter(~F.col("kept")).select("doc_id", "row_key")
     twice = written(
         decisions.filter("kept").groupBy("doc_id", "row_key").count().filter("count > 1"), "twice"
-    )
+    ).drop("count")
     if twice.isEmpty():
-        return kept
+        return without(docs, gone)
     repeated = without(docs, twice, "left_semi").dropDuplicates(["doc_id", "text"])
-    return without(kept, twice).unionByName(repeated)
+    return without(docs, gone.unionByName(twice)).unionByName(repeated)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.frames import row_key, without, written
+from waybill.llm.frames import among, marked, row_key, without, written
 from waybill.llm.hashing import Block, blocks, mixed
 
 SHINGLE = 5
@@ -252,6 +252,25 @@ def _links_in_tile(percent: int, spanning: bool):
     return run
 
 
+def _told_apart(members: DataFrame) -> DataFrame:
+    """(bucket, tiles): buckets that hold several groups, of buckets with the same members
+    one, as the others give the same pairs."""
+    parts = []
+    for seed in (1, 2):
+        value = F.xxhash64(F.lit(seed), "id", "n", "component")
+        parts += [value.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(value, 32)]
+    buckets = members.groupBy("bucket").agg(
+        F.ceil(F.greatest(F.count("*") / TILE_MEMBERS, F.sum("n") / TILE_SHINGLES)).alias("tiles"),
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        # Sums over the members, equal for equal members.
+        F.count("*").alias("members"), *[F.sum(v).alias(f"sum_{k}") for k, v in enumerate(parts)],
+    )
+    same = ["members", *[f"sum_{k}" for k in range(len(parts))]]
+    return buckets.filter("low < high").groupBy(*same).agg(
+        F.min("bucket").alias("bucket"), F.max("tiles").alias("tiles")
+    ).select("bucket", "tiles")
+
+
 def pairs_in_tiles(
     members: DataFrame, texts: DataFrame, percent: int, spanning: bool = False
 ) -> DataFrame:
@@ -260,22 +279,21 @@ def pairs_in_tiles(
 
     A bucket is cut into tiles of bounded size and every two tiles are compared as a task's
     matrix. So even a huge bucket is many tasks, and only similar pairs become rows.
+    Buckets of one group, and buckets with the members of another one, are left out.
     """
-    ids = members.select("id").distinct()
+    members = written(members.join(_told_apart(members), "bucket"), "tiled")
+    ids = written(members.select("id").distinct(), "ids")
     sets = written(
-        texts.join(ids, "id", "left_semi").select("id", "text")
+        among(texts.select("id", "text"), "id", ids)
         .mapInArrow(_hash_sets, "id long, shingles binary"),
         "sets",
     )
-    tiles = members.groupBy("bucket").agg(
-        F.ceil(F.greatest(F.count("*") / TILE_MEMBERS, F.sum("n") / TILE_SHINGLES)).alias("tiles")
-    )
     tile = F.pmod(F.xxhash64("id"), F.col("tiles"))
     # Every tile meets every other; a single one, itself.
     others = F.filter(
         F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1), lambda t: (t != tile) | (F.col("tiles") == 1)
     )
-    tiled = members.join(tiles, "bucket").select(
+    tiled = members.select(
         "bucket", "id", "n", "component", tile.alias("tile"), F.explode(others).alias("other")
     )
     return (
@@ -321,23 +339,26 @@ def near_duplicates(
     own_set = ["set_a", "set_b", "n_shingles"]
     classes = sketches.filter("n_shingles > 0").groupBy(*own_set).agg(F.min("doc_id").alias("id"))
     classes = written(classes, "classes")
-    representatives = (
-        sketches.filter("n_shingles > 0")
-        .join(classes.select("id", *[F.col(c).alias(f"_{c}") for c in own_set]),
-              (F.col("doc_id") == F.col("id")) & (F.col("set_a") == F.col("_set_a"))
-              & (F.col("set_b") == F.col("_set_b")))
-        .select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-        .distinct()
+    # A repeated row is folded where it is read.
+    own = sketches.filter("n_shingles > 0").groupBy("doc_id", *own_set).agg(F.first("bands").alias("bands"))
+    representatives = written(
+        own.join(classes.select("id", *[F.col(c).alias(f"_{c}") for c in own_set]),
+                 (F.col("doc_id") == F.col("id")) & (F.col("set_a") == F.col("_set_a"))
+                 & (F.col("set_b") == F.col("_set_b")) & (F.col("n_shingles") == F.col("_n_shingles")))
+        .select("id", F.col("n_shingles").alias("n"), "bands"),
+        "representatives",
     )
-    rows = written(representatives, "bands")
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    members = written(rows.join(sizes, "bucket"), "members")
+    rows = representatives.select("id", "n", F.explode("bands").alias("bucket"))
+    sizes = written(rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
+    # Most buckets hold one document, whose rows need no shuffle.
+    shared = marked(rows, F.col("bucket"), sizes.select("bucket"), "shared").filter("shared")
+    members = written(shared.drop("shared").join(sizes, "bucket"), "members")
     met = members.groupBy("id").agg(F.sum("size").alias("met"))
     members = written(members.drop("size").join(met, "id"), "members")
-    wanted = met.select(F.col("id").alias("doc_id"))
+    wanted = written(members.select(F.col("id").alias("doc_id")).distinct(), "wanted")
     # An id with several texts has one of them here, whichever is least.
     texts = written(
-        plain.join(wanted, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id"))
+        among(plain, "doc_id", wanted).groupBy(F.col("doc_id").alias("id"))
         .agg(F.min("text").alias("text")),
         "texts",
     )
