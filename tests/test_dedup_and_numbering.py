@@ -102,3 +102,33 @@ def test_rank_limit_runs_before_the_shuffle(spark, plan_of):
     plan = plan_of(first_per_key(df, ["k"], ["v"]))
     assert "Partial" in plan[plan.index("Exchange"):]
     assert plan.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("limits", [{}, {"hot_rows": 50, "slice_rows": 7}, {"hot_rows": 0, "slice_rows": 1}])
+def test_numbers_go_on_from_earlier_loads(spark, limits):
+    rows = [r for r in random_rows(8) if r[0] is not None]
+    keys = sorted({r[0] for r in rows})
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    before = spark.createDataFrame([(k, 10 * k + 3) for k in keys if k % 2], "k long, earlier long")
+    found = line_occurrence(df, ["k"], before=before, **limits)
+    assert found.columns == [*df.columns, "occurrence"]
+    numbers = found.select("k", "chunk_file", "chunk_row", "occurrence").collect()
+    assert sorted(tuple(r) for r in numbers) == [
+        (k, f, r, i + (10 * k + 3 if k % 2 else 0)) for k, f, r, i in brute_numbers(rows)]
+
+
+def test_lines_that_go_on_are_shuffled_once(spark):
+    df = spark.createDataFrame(random_rows(9), SCHEMA).filter("k IS NOT NULL")
+    before = spark.range(9).select(F.col("id").alias("k"), F.lit(2).alias("earlier"))
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(conf)
+    spark.conf.set(conf, "-1")
+    try:
+        found = line_occurrence(df, ["k"], before=before)
+        assert found.count() == df.count()
+        found.collect()
+        final = found._jdf.queryExecution().executedPlan().toString().split("== Initial")[0]
+    finally:
+        spark.conf.set(conf, usual)
+    # Of the lines and of what was counted before; no slices where no group is hot.
+    assert "_block" not in final and final.count("Exchange hashpartitioning(k") == 2
